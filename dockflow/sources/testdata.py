@@ -1,0 +1,255 @@
+"""Adapters from the supplied test tables to the schemas of ``schemas.py``.
+
+Stations are the value ``k`` of an event modulo 20; every event is one ride.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from dockflow.functions import keys as K
+from dockflow.operators import flow
+
+PANEL_START = "2024-01-01 00:00:00"
+PANEL_END = "2024-01-30 23:00:00"
+DAYS = 30
+STATIONS = 20
+CITIES = 5
+# weather is left out on these days, so that joins meet their defaults
+DAYS_WITHOUT_WEATHER = ("20240110", "20240121")
+TARGETS = ("label_10", "label_16", "label_21")
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _station() -> Column:
+    k = F.get_json_object("props", "$.k").cast("int")
+    return (k % STATIONS).cast("string")
+
+
+def _next_of_user(events: DataFrame) -> DataFrame:
+    """Time and station of the same user's next event, by ``(ts, event_id)``.
+
+    A user may own a large share of all events, so the order is not taken over whole users:
+    inside (user, hour) buckets by ``lead``, and for the last event of a bucket from the first
+    event of the user's next bucket, which is found on one row per (user, hour).
+    """
+    stop = F.struct("ts", "event_id", "start_station_id")
+    events = events.withColumn("bucket", K.floor_hour("ts"))
+    heads = (
+        events.groupBy("user_id", "bucket")
+        .agg(F.min(stop).alias("head"))
+        .withColumn("next_head", F.lead("head").over(W.partitionBy("user_id").orderBy("bucket")))
+        .select("user_id", "bucket", "next_head")
+    )
+    inside = W.partitionBy("user_id", "bucket").orderBy("ts", "event_id")
+    return (
+        events.withColumn("following", F.lead(stop).over(inside))
+        .join(heads, ["user_id", "bucket"], "left")
+        .withColumn("following", F.coalesce("following", "next_head"))
+        .drop("bucket", "next_head")
+    )
+
+
+def departures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides without their end: one row per event."""
+    return table(spark, sf_dir, "events").select(
+        "event_id",
+        "ts",
+        "user_id",
+        F.col("event_type").alias("ride_type"),
+        "value",
+        _station().alias("start_station_id"),
+    )
+
+
+def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start at the event's station and time, end at those of the user's next event."""
+    return _next_of_user(departures(spark, sf_dir)).select(
+        F.col("event_id").alias("ride_id"),
+        "ride_type",
+        F.col("ts").alias("started_at"),
+        F.col("following.ts").alias("ended_at"),
+        "start_station_id",
+        F.col("following.start_station_id").alias("end_station_id"),
+    )
+
+
+def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(station_id, hour, inflow, outflow) for every station and hour."""
+    return flow.dense_panel(flow.hourly_flow(rides(spark, sf_dir)), PANEL_START, PANEL_END)
+
+
+def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return departures(spark, sf_dir).select(
+        F.col("event_id").cast("string").alias("order_id"),
+        F.col("start_station_id").alias("site_guid"),
+        F.floor("value").alias("capacity"),
+        K.day_key("ts").alias("pt"),
+    )
+
+
+def city_of(station: str) -> Column:
+    return (F.col(station).cast("int") % CITIES).cast("string")
+
+
+def hourly_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Net outflow of this hour and of 6 and 12 hours ahead, at hours with a departure only."""
+    net = panel(spark, sf_dir).withColumn("net", F.col("outflow") - F.col("inflow"))
+    ahead = flow.forward_sums(net, {"label_16": "net"}, 6, complete=False)
+    ahead = flow.forward_sums(ahead, {"label_21": "net"}, 12, complete=False)
+    return ahead.filter("outflow > 0").select(
+        F.col("station_id").alias("site_guid"),
+        city_of("station_id").alias("city_guid"),
+        F.col("net").cast("double").alias("label_10"),
+        F.col("label_16").cast("double").alias("label_16"),
+        F.col("label_21").cast("double").alias("label_21"),
+        F.hour("hour").alias("hour"),
+        K.day_key("hour").alias("pt"),
+    )
+
+
+def vehicle_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = {"put_veh_cnt": "view", "idle_12h_cnt": "error", "idle_1d_cnt": "click"}
+    return (
+        departures(spark, sf_dir)
+        .groupBy(
+            F.col("start_station_id").alias("parking_guid"),
+            K.day_key("ts").alias("pt"),
+            K.two_digits(F.hour("ts")).alias("hr"),
+            F.when(F.minute("ts") < 30, "00").otherwise("30").alias("min"),
+        )
+        .agg(*[F.count_if(F.col("ride_type") == v).alias(c) for c, v in counts.items()])
+    )
+
+
+def weather_workday(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two forecasts per (city, day): made for one and for two days later, the second warmer."""
+    day = F.col("day")
+    per_day = (
+        departures(spark, sf_dir)
+        .groupBy(city_of("start_station_id").alias("city_guid"), F.col("ts").cast("date").alias("day"))
+        .agg(
+            (F.count_if(F.col("ride_type") == "signup") % 4).cast("int").alias("cycle_weather_level"),
+            F.round(F.avg("value"), 1).alias("mean_value"),
+        )
+        .filter(~K.day_key("day").isin(*DAYS_WITHOUT_WEATHER))
+    )
+    workday = (
+        F.when(F.weekday(day) == 6, 0).when(F.weekday(day) == 5, 2).otherwise(1).cast("int")
+    )
+    ahead = F.explode(F.array(F.lit(1), F.lit(2))).alias("ahead")
+    return per_day.select("*", ahead).select(
+        "city_guid",
+        K.day_key(day).alias("forecast_date"),
+        K.day_key(F.date_add(day, F.col("ahead"))).alias("pred_date"),
+        "cycle_weather_level",
+        F.round(F.col("mean_value") + (F.col("ahead") - 1), 1).alias("temperature_avg_val"),
+        workday.alias("workday_level"),
+    )
+
+
+def fence_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("fence_id"),
+        (F.col("s_nationkey") % CITIES).cast("string").alias("city_guid"),
+        F.when(F.col("s_acctbal") > 0, 5).otherwise(1).alias("area_status"),
+        F.lit(207).alias("area_type"),
+        F.lit("20240131").alias("pt"),
+    )
+
+
+def known_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cities with a code; one city of the orders is not among them."""
+    nation = table(spark, sf_dir, "nation")
+    return nation.select((F.col("n_nationkey") % (CITIES - 1)).cast("string").alias("city_guid")).distinct()
+
+
+def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of the rides of ``src`` that end at ``dst``."""
+    pairs = (
+        rides(spark, sf_dir)
+        .groupBy(F.col("start_station_id").alias("src"), F.col("end_station_id").alias("dst"))
+        .agg(F.count("*").alias("n"))
+    )
+    share = F.col("n") / F.sum("n").over(W.partitionBy("src"))
+    return pairs.withColumn("weight", share).dropna(subset=["dst"]).select("src", "dst", "weight")
+
+
+def encoded_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings as 8 x 8 JSON matrices, some of them damaged.
+
+    Every 7th misses its last step, every 11th has one short step, every 13th holds a null, every
+    17th is cut off in the middle of the text.
+    """
+    flat = F.transform("embedding", lambda x: F.round(x.cast("double"), 4))
+    step = lambda i: F.slice(F.col("flat"), i * 8 + 1, 8)
+    whole = F.transform(F.sequence(F.lit(0), F.lit(7)), step)
+    ragged = F.transform(
+        F.sequence(F.lit(0), F.lit(7)),
+        lambda i: F.slice(F.col("flat"), i * 8 + 1, F.when(i == 3, 7).otherwise(8)),
+    )
+    holed = F.transform(
+        whole, lambda s, i: F.when(i == 5, F.transform(s, lambda v, j: F.when(j != 2, v))).otherwise(s)
+    )
+    every = lambda n: F.col("vec_id") % n == n - 1
+    matrix = (
+        F.when(every(7), F.slice(whole, 1, 7))
+        .when(every(11), ragged)
+        .when(every(13), holed)
+        .otherwise(whole)
+    )
+    text = F.to_json(matrix)
+    return (
+        table(spark, sf_dir, "embeddings")
+        .select("vec_id", flat.alias("flat"))
+        .select(
+            F.col("vec_id").cast("string").alias("site_guid"),
+            F.when(every(17), F.substring(text, 1, 40)).otherwise(text).alias("features"),
+        )
+    )
+
+
+def flow_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense hourly steps (station_id, hour, net_flow, inflow, outflow, hour_of_day)."""
+    return panel(spark, sf_dir).select(
+        "station_id",
+        "hour",
+        (F.col("inflow") - F.col("outflow")).alias("net_flow"),
+        "inflow",
+        "outflow",
+        F.hour("hour").alias("hour_of_day"),
+    )
+
+
+FLOW_FEATURES = ("net_flow", "inflow", "outflow", "hour_of_day")
+
+
+def forecast_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forward 12 h sums against their values a day earlier plus a half, for three targets."""
+    ahead = flow.future_flow(panel(spark, sf_dir))
+    by_station = W.partitionBy("station_id").orderBy("hour")
+    truth = F.array("future_12h_outflow", "future_12h_inflow", "future_12h_netflow")
+    earlier = F.lag("truth", 24).over(by_station)
+    return (
+        ahead.select("station_id", "hour", truth.alias("truth"))
+        .withColumn("earlier", earlier)
+        .select(
+            F.col("station_id").alias("site"),
+            "hour",
+            F.posexplode(F.arrays_zip("truth", "earlier")).alias("target", "v"),
+        )
+        .select(
+            "site",
+            "target",
+            (F.datediff(F.col("hour").cast("date"), F.lit(PANEL_START).cast("date")) - 1).alias("day_idx"),
+            F.hour("hour").alias("hour"),
+            F.col("v.truth").cast("double").alias("y_true"),
+            (F.col("v.earlier") + 0.5).cast("double").alias("y_pred"),
+        )
+        .dropna()
+    )
