@@ -87,26 +87,25 @@ def fraction_exact(
         "_bucket", F.substring("_hash", 1, buckets_hex)
     )
     upto = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, 0)
-    # at most 16 ** buckets_hex rows
-    histogram = (
+    everything = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    before = F.col("_upto") - F.col("_rows")
+    # at most 16 ** buckets_hex rows, here and in both broadcasts
+    marks = (
         hashed.groupBy("_bucket")
         .agg(F.count("*").alias("_rows"))
         .withColumn("_upto", F.sum("_rows").over(upto))
+        .withColumn("_wanted", F.floor(F.sum("_rows").over(everything) * F.lit(float(fraction))))
+        .select("_bucket", "_rows", F.least("_rows", F.col("_wanted") - before).alias("_take"))
+        .filter(F.col("_take") > 0)
     )
-    total = hashed.agg(F.count("*").alias("n")).scalar()
-    wanted = F.floor(total * F.lit(float(fraction)))
-    border = (
-        histogram.withColumn("_left", wanted - (F.col("_upto") - F.col("_rows")))
-        .filter((F.col("_left") > 0) & (F.col("_left") < F.col("_rows")))
-        .select(F.col("_bucket"), F.col("_left"))
-    )
-    whole = histogram.filter(F.col("_upto") <= wanted).select("_bucket")
+    whole = marks.filter(F.col("_take") == F.col("_rows"))
+    border = marks.filter(F.col("_take") < F.col("_rows"))
     taken = hashed.join(F.broadcast(whole), "_bucket", "left_semi").select(df.columns)
     rank = F.row_number().over(W.partitionBy("_bucket").orderBy("_hash", *keys))
     partly = (
         hashed.join(F.broadcast(border), "_bucket")
         .withColumn("_rank", rank)
-        .filter(F.col("_rank") <= F.col("_left"))
+        .filter(F.col("_rank") <= F.col("_take"))
         .select(df.columns)
     )
     return taken.unionByName(partly)
