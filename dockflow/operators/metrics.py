@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 PEAK_SLICES = {"morning": (7, 9), "evening": (18, 20), "all_day": (0, 23)}
 DAILY_SLICES = {"day": (0, 23), "morning": (8, 8), "afternoon": (13, 13), "evening": (19, 19)}
 
-_ERROR = F.col("y_pred") - F.col("y_true")
+
+def _error() -> Column:
+    return F.col("y_pred") - F.col("y_true")
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -62,7 +64,7 @@ def slice_metrics(
     A slice with no such row has null metrics and ``rows`` 0.
     """
     mask = F.col("y_true") >= above if inclusive else F.col("y_true") > above
-    return _by_slice(df, by, slices, ("mse", "mape", "wmape", "rows"), mask, _ERROR)
+    return _by_slice(df, by, slices, ("mse", "mape", "wmape", "rows"), mask, _error())
 
 
 def daily_metrics(
@@ -92,7 +94,7 @@ def peak_huber(
     df: DataFrame, by: Sequence[str] = (), peak: float = 5, delta: float = 5, peak_weight: float = 2
 ) -> DataFrame:
     """Huber mean of peak truths (weighted) plus absolute mean of the others; empty class adds 0."""
-    size = F.abs(_ERROR)
+    size = F.abs(_error())
     is_peak = F.col("y_true") >= peak
     huber = F.when(size <= delta, 0.5 * size * size).otherwise(delta * (size - 0.5 * delta))
     zero = F.lit(0.0)
@@ -119,16 +121,16 @@ def multi_target_loss(
 
 def smooth_l1(beta: float = 5) -> Column:
     """Row-wise smooth absolute error."""
-    size = F.abs(_ERROR)
+    size = F.abs(_error())
     return F.when(size < beta, 0.5 * size * size / beta).otherwise(size - 0.5 * beta)
 
 
 def overall_error(df: DataFrame, by: Sequence[str] = (), beta: float = 5) -> DataFrame:
     """MAE, RMSE, MSE and smooth absolute error over all rows."""
     return df.groupBy(*by).agg(
-        F.avg(F.abs(_ERROR)).alias("mae"),
-        F.sqrt(F.avg(_ERROR * _ERROR)).alias("rmse"),
-        F.avg(_ERROR * _ERROR).alias("mse"),
+        F.avg(F.abs(_error())).alias("mae"),
+        F.sqrt(F.avg(_error() * _error())).alias("rmse"),
+        F.avg(_error() * _error()).alias("mse"),
         F.avg(smooth_l1(beta)).alias("smooth_l1"),
         F.count("*").alias("rows"),
     )
@@ -158,9 +160,9 @@ def horizon_metrics(
     if mask_zero:
         df = df.filter(F.col("y_true") != 0)
     return df.groupBy(*by, horizon).agg(
-        F.avg(F.abs(_ERROR)).alias("mae"),
-        F.avg(F.abs(_ratio(_ERROR, F.col("y_true")))).alias("mape"),
-        F.sqrt(F.avg(_ERROR * _ERROR)).alias("rmse"),
+        F.avg(F.abs(_error())).alias("mae"),
+        F.avg(F.abs(_ratio(_error(), F.col("y_true")))).alias("mape"),
+        F.sqrt(F.avg(_error() * _error())).alias("rmse"),
     )
 
 

@@ -50,7 +50,8 @@ def hour_profile(rides: DataFrame) -> DataFrame:
 
 
 def weekday_calendar(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(WEEKDAYS)), "weekday int, day_name string")
+    names = F.array(*[F.lit(name) for name in WEEKDAYS])
+    return spark.range(1).select(F.posexplode(names).alias("weekday", "day_name"))
 
 
 def weekday_profile(rides: DataFrame) -> DataFrame:
@@ -119,13 +120,12 @@ def histogram(
     """
     lower = F.lit(low) if low is not None else F.least(F.min(column), F.lit(at_most))
     upper = F.lit(high) if high is not None else F.greatest(F.max(column), F.lit(at_least))
-    lo = df.agg(lower.cast("double")).scalar()
-    hi = df.agg(upper.cast("double")).scalar()
+    ends = df.agg(F.struct(lower.cast("double").alias("lo"), upper.cast("double").alias("hi"))).scalar()
     number = F.least(F.width_bucket(F.col(column).cast("double"), "_lo", "_hi", F.lit(bins)), F.lit(bins))
     width = (F.col("_hi") - F.col("_lo")) / bins
     counted = (
         df.filter(F.col(column).isNotNull())
-        .withColumns({"_lo": lo, "_hi": hi})
+        .withColumns({"_lo": ends["lo"], "_hi": ends["hi"]})
         .groupBy((number - 1).alias("bin"), "_lo", "_hi")
         .agg(F.count("*").alias("count"))
     )

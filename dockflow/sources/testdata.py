@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from dockflow.functions import keys as K
 from dockflow.operators import flow
+from dockflow.sources.readers import between_days
 
 PANEL_START = "2024-01-01 00:00:00"
 PANEL_END = "2024-01-30 23:00:00"
