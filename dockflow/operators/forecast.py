@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
@@ -62,27 +64,23 @@ def fit_linear(
     horizon: int,
     loss: str = "squaredError",
     ridge: float = 0.0,
+    parallelism: int = 8,
 ) -> tuple[np.ndarray, np.ndarray]:
     """One affine map per step ahead, from the input array to ``y[h]``.
 
     Trend and seasonal parts are linear in the input, so one map stands for both. Returns the
-    weights (inputs x horizon) and the offsets (horizon).
+    weights (inputs x horizon) and the offsets (horizon); their size does not depend on the
+    number of samples. ``parallelism`` fits run at a time on the kept samples.
     """
     ready = samples.select(array_to_vector(F.col(x)).alias("features"), F.col(y).alias("_y"))
-    weights, offsets = [], []
-    with reused(ready) as ready:
-        for h in range(horizon):
-            model = LinearRegression(
-                featuresCol="features",
-                labelCol="label",
-                loss=loss,
-                regParam=ridge,
-                standardization=False,
-                solver="auto",
-            ).fit(ready.withColumn("label", F.col("_y")[h]))
-            weights.append(model.coefficients.toArray())
-            offsets.append(model.intercept)
-    return np.array(weights).T, np.array(offsets)
+    learner = LinearRegression(loss=loss, regParam=ridge, standardization=False)
+    with reused(ready) as kept, ThreadPoolExecutor(parallelism) as pool:
+        fit = inheritable_thread_target(kept.sparkSession)(
+            lambda h: learner.fit(kept.withColumn("label", F.get("_y", F.lit(h))))
+        )
+        models = list(pool.map(fit, range(horizon)))
+    weights = np.array([m.coefficients.toArray() for m in models]).T
+    return weights, np.array([m.intercept for m in models])
 
 
 def linear_scorer(weights: np.ndarray, offsets: np.ndarray, target: int = 0) -> Scorer:

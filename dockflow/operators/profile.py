@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockflow.functions import keys as K
@@ -29,21 +29,29 @@ def approximate_stations(rides: DataFrame, rsd: float = 0.02) -> DataFrame:
     return rides.agg(F.approx_count_distinct("start_station_id", rsd).alias("stations"))
 
 
-def _ends_by(rides: DataFrame, key: Column, name: str) -> DataFrame:
-    """Departures and arrivals per value of a time key; null where there are none of a kind."""
-    some = lambda c: F.when(F.sum(c) > 0, F.sum(c)).alias(c)
+def calendar_counts(rides: DataFrame) -> DataFrame:
+    """Departures and arrivals per (weekday, hour of day): at most 168 rows."""
     return (
         ride_ends(rides)
         .filter(F.col("at").isNotNull())
-        .groupBy(key.alias(name))
-        .agg(some("outflow"), some("inflow"))
+        .groupBy(K.weekday_monday0("at").alias("weekday"), F.hour("at").alias("hour_of_day"))
+        .agg(F.sum("outflow").alias("outflow"), F.sum("inflow").alias("inflow"))
     )
 
 
-def hour_profile(rides: DataFrame) -> DataFrame:
-    """Departures, arrivals and their difference per hour of day (hours with departures)."""
+def _profile(counts: DataFrame, key: str) -> DataFrame:
+    """Totals per value of a key; null where there are none of a kind."""
+    some = lambda c: F.when(F.sum(c) > 0, F.sum(c)).alias(c)
+    return counts.groupBy(key).agg(some("outflow"), some("inflow"))
+
+
+def hour_profile(counts: DataFrame) -> DataFrame:
+    """Departures, arrivals and their difference per hour of day (hours with departures).
+
+    Takes ``calendar_counts``, as the weekday profile does, so both can share one scan.
+    """
     return (
-        _ends_by(rides, F.hour("at"), "hour_of_day")
+        _profile(counts, "hour_of_day")
         .filter(F.col("outflow").isNotNull())
         .withColumn("net_flow", F.col("inflow") - F.col("outflow"))
     )
@@ -54,12 +62,11 @@ def weekday_calendar(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(F.posexplode(names).alias("weekday", "day_name"))
 
 
-def weekday_profile(rides: DataFrame) -> DataFrame:
+def weekday_profile(counts: DataFrame) -> DataFrame:
     """The same per weekday, all seven, Monday first; null on weekdays without rides."""
-    counts = _ends_by(rides, K.weekday_name("at"), "day_name")
     return (
-        weekday_calendar(rides.sparkSession)
-        .join(counts, "day_name", "left")
+        weekday_calendar(counts.sparkSession)
+        .join(_profile(counts, "weekday"), "weekday", "left")
         .withColumn("net_flow", F.col("inflow") - F.col("outflow"))
     )
 
@@ -167,8 +174,9 @@ def extremes(profile: DataFrame, key: str, order: str, value: str = "outflow") -
 
 def peak_hours(rides: DataFrame) -> DataFrame:
     """Busiest and quietest hour of day and weekday by departures."""
-    hours = extremes(hour_profile(rides), "hour_of_day", "hour_of_day")
-    days = extremes(weekday_profile(rides), "day_name", "weekday")
+    counts = calendar_counts(rides)
+    hours = extremes(hour_profile(counts), "hour_of_day", "hour_of_day")
+    days = extremes(weekday_profile(counts), "day_name", "weekday")
     kind = lambda df, name: df.select(F.lit(name).alias("kind"), "*")
     return kind(hours, "hour").unionByName(kind(days, "weekday"))
 

@@ -444,7 +444,9 @@ def _union(parts: dict[str, str]) -> str:
     return " UNION ALL ".join(f"SELECT '{n}' AS split, * FROM ({s})" for n, s in parts.items())
 
 
-def _metric_slices(group: str, slices: dict, mask: str, pred: str, wanted: dict) -> str:
+def _metric_slices(
+    group: str, slices: dict, mask: str, pred: str, wanted: dict, digits: int = 6
+) -> str:
     parts = []
     for name, (first, last) in slices.items():
         keep = f"{mask} AND hour BETWEEN {first} AND {last}"
@@ -454,7 +456,7 @@ def _metric_slices(group: str, slices: dict, mask: str, pred: str, wanted: dict)
             "wmape": f"sum(abs({pred} - y_true)) FILTER ({keep})"
             f" / nullif(sum(abs(y_true)) FILTER ({keep}), 0)",
         }
-        columns = ", ".join(_r(measures[m], alias) for m, alias in wanted.items())
+        columns = ", ".join(_r(measures[m], alias, digits) for m, alias in wanted.items())
         parts.append(
             f"SELECT {group}, '{name}' AS slice, {columns}, count(*) FILTER ({keep}) AS rows"
             f" FROM eval GROUP BY {group}"
@@ -462,13 +464,19 @@ def _metric_slices(group: str, slices: dict, mask: str, pred: str, wanted: dict)
     return " UNION ALL ".join(parts)
 
 
-_DAILY = _metric_slices(
-    "target, day_idx",
-    {"day": (0, 23), "morning": (8, 8), "afternoon": (13, 13), "evening": (19, 19)},
-    "y_true >= 5",
-    "round_even(y_pred, 0)",
-    {"mape": "mape", "wmape": "wape"},
-)
+
+
+def _daily(digits: int = 6) -> str:
+    return _metric_slices(
+        "target, day_idx",
+        {"day": (0, 23), "morning": (8, 8), "afternoon": (13, 13), "evening": (19, 19)},
+        "y_true >= 5",
+        "round_even(y_pred, 0)",
+        {"mape": "mape", "wmape": "wape"},
+        digits,
+    )
+
+
 _PEAK_HUBER = (
     "2 * coalesce(avg(huber) FILTER (peak), 0) + coalesce(avg(e) FILTER (NOT peak), 0)"
 )
@@ -747,11 +755,11 @@ ORACLE: dict[str, str] = {
         ),
         "eval",
     ),
-    "daily_metrics": _with(_DAILY, "eval"),
+    "daily_metrics": _with(_daily(), "eval"),
     "mean_daily_metrics": _with(
         f"""SELECT target, slice, {_r("avg(mape)", "mape")}, {_r("avg(wape)", "wape")},
             count(*) FILTER (mape IS NULL) AS empty_days
-          FROM ({_DAILY}) GROUP BY 1, 2""",
+          FROM ({_daily(15)}) GROUP BY 1, 2""",
         "eval",
     ),
     "peak_huber": _with(

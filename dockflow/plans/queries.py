@@ -594,12 +594,14 @@ def data_range(spark, sf_dir):
 
 @query
 def hour_profile(spark, sf_dir):
-    return _tidy(_doubles(profile.hour_profile(td.rides(spark, sf_dir)), ["inflow", "outflow", "net_flow"]))
+    counts = profile.calendar_counts(td.rides(spark, sf_dir))
+    return _tidy(_doubles(profile.hour_profile(counts), ["inflow", "outflow", "net_flow"]))
 
 
 @query
 def weekday_profile(spark, sf_dir):
-    return _tidy(_doubles(profile.weekday_profile(td.rides(spark, sf_dir)), ["inflow", "outflow", "net_flow"]))
+    counts = profile.calendar_counts(td.rides(spark, sf_dir))
+    return _tidy(_doubles(profile.weekday_profile(counts), ["inflow", "outflow", "net_flow"]))
 
 
 def _totals(spark, sf_dir):
