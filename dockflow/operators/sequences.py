@@ -63,21 +63,21 @@ def decode_sequences(
     Reasons: ``bad_json`` (not a list of lists), ``bad_length``, ``bad_width``, ``bad_value``
     (an element that is null or not a number; numbers written as text are numbers).
     """
-    raw = F.from_json(F.col(column), "array<array<string>>")
-    number = lambda v: F.regexp_replace(v, '^"|"$', "").try_cast("double")
-    parsed = encoded.withColumn("_raw", raw).withColumn(
-        name, F.transform("_raw", lambda s: F.transform(s, number))
-    )
+    number = lambda v: F.translate(v, '"', "").try_cast("double")
     reason = (
         F.when(F.col("_raw").isNull(), "bad_json")
         .when(F.size("_raw") != steps, "bad_length")
-        .when(
-            ~F.forall("_raw", lambda s: s.isNotNull() & (F.coalesce(F.size(s), F.lit(-1)) == width)),
-            "bad_width",
-        )
+        .when(F.exists("_raw", lambda s: s.isNull() | (F.size(s) != width)), "bad_width")
         .when(F.exists(name, lambda s: F.exists(s, lambda v: v.isNull())), "bad_value")
     )
-    return parsed.withColumn("reject_reason", reason).drop("_raw")
+    kept = [c for c in encoded.columns if c != name]
+    # one-element explodes keep the parsed value: a filter on the reason must not parse again
+    return (
+        encoded.select(*kept, F.explode(F.array(F.from_json(column, "array<array<string>>"))).alias("_raw"))
+        .select("*", F.explode(F.array(F.transform("_raw", lambda s: F.transform(s, number)))).alias(name))
+        .select("*", F.explode(F.array(reason)).alias("reject_reason"))
+        .drop("_raw")
+    )
 
 
 def accepted(decoded: DataFrame) -> DataFrame:

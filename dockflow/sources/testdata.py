@@ -23,8 +23,18 @@ DAYS_WITHOUT_WEATHER = ("20240110", "20240121")
 TARGETS = ("label_10", "label_16", "label_21")
 
 
+# column types of the tables that are read
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _station() -> Column:
