@@ -23,7 +23,15 @@ from dockflow.operators import (
     sequences,
     sites,
 )
-from dockflow.sources import readers, sinks
+from dockflow.sources import readers, schemas, sinks
+
+SCHEMAS = {
+    "orders": schemas.ORDERS,
+    "labels": schemas.HOURLY_LABELS,
+    "snapshots": schemas.VEHICLE_SNAPSHOTS,
+    "weather": schemas.WEATHER_WORKDAY,
+    "fences": schemas.FENCE_DIM,
+}
 
 
 @dataclass(frozen=True)
@@ -39,7 +47,8 @@ class Places:
     fmt: str | None = "parquet"
 
     def days(self, spark: SparkSession, name: str, first: str, last: str, day: str = "pt") -> DataFrame:
-        return readers.read_days(spark, self.sources[name], first, last, self.fmt, day)
+        schema = None if self.fmt is None else SCHEMAS[name]
+        return readers.read_days(spark, self.sources[name], first, last, self.fmt, day, schema)
 
     def sink(self, name: str) -> str:
         return f"{self.out}/{name}"
@@ -55,7 +64,8 @@ class Thresholds:
 
 
 def _read_day(spark: SparkSession, path: str, day: str) -> DataFrame:
-    return readers.read_days(spark, path, day, day, "parquet").drop("pt")
+    """One written day, without listing the others."""
+    return spark.read.parquet(f"{path}/pt={day}")
 
 
 # ---- prediction features -----------------------------------------------------------------

@@ -29,24 +29,21 @@ def create_day_table(
 
 
 def overwrite_day(df: DataFrame, day: str, path: str, day_column: str = "pt") -> None:
-    """Replace one day partition below ``path``; the other days stay. Safe to repeat."""
-    (
-        df.withColumn(day_column, F.lit(day))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day_column)
-        .parquet(path)
-    )
+    """Replace one day partition below ``path``; the other days stay.
+
+    Safe to repeat: also an empty result replaces what an earlier attempt left.
+    """
+    df.drop(day_column).write.mode("overwrite").parquet(f"{path}/{day_column}={day}")
 
 
 def overwrite_table_day(df: DataFrame, day: str, table: str, day_column: str = "pt") -> None:
     """Replace one day partition of a declared table, matching columns by name."""
-    columns = [c for c in df.sparkSession.table(table).columns if c != day_column]
-    (
-        df.select(*columns, F.lit(day).alias(day_column))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
+    spark = df.sparkSession
+    columns = [c for c in spark.table(table).columns if c != day_column]
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION (`{day_column}` = {{day}}) SELECT * FROM {{rows}}",
+        day=day,
+        rows=df.select(*columns),
     )
 
 

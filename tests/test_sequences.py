@@ -96,10 +96,6 @@ def test_alignment(frame):
 
 
 def _sequence(frame, days, sites="ab"):
-    rows = [
-        (s, [[float(100 * i + h), float(i)] for i in range(days) for h in range(24)])
-        for i, s in enumerate(sites)
-    ]
     rows = [(s, [[float(1000 * k + t), float(t % 24)] for t in range(days * 24)]) for k, s in enumerate(sites)]
     return frame(rows, "site string, features array<array<double>>")
 
