@@ -24,7 +24,10 @@ def build_session(
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # latest-n limits work before the shuffle up to this n (a six-week sequence has 1008 rows)
+        "spark.sql.optimizer.windowGroupLimitThreshold": "20000",
+        # a site's packed sequence is some 100 KB, so Python batches hold fewer rows than usual
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     }
     settings.update(conf or {})
     builder = SparkSession.builder.appName(app)
