@@ -22,12 +22,11 @@ def hourly_counts(
 ) -> DataFrame:
     """Rides per (station, hour) at one end of the ride."""
     return (
-        rides.select(
+        rides.groupBy(
             _station(station, keep_unknown).alias("station_id"), floor_hour(time).alias("hour")
         )
-        .dropna()
-        .groupBy("station_id", "hour")
         .agg(F.count("*").alias(name))
+        .dropna(subset=["station_id", "hour"])
     )
 
 
@@ -70,9 +69,9 @@ def hourly_flow(rides: DataFrame, keep_unknown: bool = False) -> DataFrame:
     """
     return (
         ride_ends(rides, keep_unknown)
-        .dropna(subset=["station_id", "at"])
         .groupBy("station_id", floor_hour("at").alias("hour"))
         .agg(F.sum("inflow").alias("inflow"), F.sum("outflow").alias("outflow"))
+        .dropna(subset=["station_id", "hour"])
     )
 
 

