@@ -42,8 +42,10 @@ def test_pack_is_the_same_for_any_partitioning(spark, frame):
 
 def test_rank_limit_is_applied_before_the_shuffle(frame):
     df = _steps(frame, {"x": 3})
-    plan = sequences.latest_rows(df, "k", "t", 2)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan.split("Exchange")[-1]
+    for steps in (2, 1008):
+        latest = sequences.latest_rows(df, "k", "t", steps)
+        plan = latest._jdf.queryExecution().executedPlan().toString()
+        assert "WindowGroupLimit" in plan.split("Exchange")[-1]
 
 
 def test_json_round_trip_and_reasons(frame):
