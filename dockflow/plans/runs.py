@@ -269,13 +269,14 @@ def prepare_open_rides(
         ["started_at", "ended_at", "start_station_id", "end_station_id"],
         same_header=same_header,
     )
-    rides = readers.type_rides(raw)
+    # text is parsed once; the flow and the station filter read columns
+    readers.type_rides(raw).write.mode("overwrite").parquet(f"{out}/rides")
+    rides = spark.read.parquet(f"{out}/rides")
     hourly = flow.hourly_flow(rides, keep_unknown)
     panel = flow.dense_panel(hourly, span.start, span.end)
-    future = flow.future_flow(panel, cutoff=span.cutoff)
-    sinks.write_csv(future, f"{out}/panel_csv")
-    future.write.mode("overwrite").parquet(f"{out}/panel")
+    flow.future_flow(panel, cutoff=span.cutoff).write.mode("overwrite").parquet(f"{out}/panel")
     future = spark.read.parquet(f"{out}/panel")
+    sinks.write_csv(future, f"{out}/panel_csv")
 
     busy = sites.busy_stations(rides, span.busy_from, span.busy_before, span.busy_mean)
     lagged = features.panel_lags(sites.keep_sites(future, busy, "station_id", "station_id"))
