@@ -64,19 +64,27 @@ def decode_sequences(
     (an element that is null or not a number; numbers written as text are numbers).
     """
     number = lambda v: F.translate(v, '"', "").try_cast("double")
+    numbers = F.transform("_text", lambda s: F.transform(s, number))
     reason = (
-        F.when(F.col("_raw").isNull(), "bad_json")
-        .when(F.size("_raw") != steps, "bad_length")
-        .when(F.exists("_raw", lambda s: s.isNull() | (F.size(s) != width)), "bad_width")
+        F.when(F.col(name).isNull(), "bad_json")
+        .when(F.size(name) != steps, "bad_length")
+        .when(F.exists(name, lambda s: s.isNull() | (F.size(s) != width)), "bad_width")
         .when(F.exists(name, lambda s: F.exists(s, lambda v: v.isNull())), "bad_value")
     )
     kept = [c for c in encoded.columns if c != name]
-    # one-element explodes keep the parsed value: a filter on the reason must not parse again
+    only = lambda c: F.explode(F.array(c))
+    # one-element explodes keep the parsed values: a filter on the reason must not parse again.
+    # Numbers are read as such; only what fails that way is read as text.
     return (
-        encoded.select(*kept, F.explode(F.array(F.from_json(column, "array<array<string>>"))).alias("_raw"))
-        .select("*", F.explode(F.array(F.transform("_raw", lambda s: F.transform(s, number)))).alias(name))
-        .select("*", F.explode(F.array(reason)).alias("reject_reason"))
-        .drop("_raw")
+        encoded.select(*kept, only(F.from_json(column, "array<array<double>>")).alias("_plain"))
+        .select(
+            "*",
+            only(
+                F.when(F.col("_plain").isNull(), F.from_json(column, "array<array<string>>"))
+            ).alias("_text"),
+        )
+        .select("*", only(F.coalesce("_plain", numbers)).alias(name))
+        .select(*kept, name, only(reason).alias("reject_reason"))
     )
 
 
