@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockflow.llm import simhash
-from dockflow.llm.base import table
+from dockflow.llm import bpe, chat, embeddings, mixing, simhash, syncmers, warc
+from dockflow.llm.base import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -23,3 +23,93 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 def op10_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, bits=3)
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
+
+
+@query
+def op2_embedding_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+def byte_bpe() -> tuple[dict[bytes, int], str]:
+    """Ranks and pattern of the tokenizer that the query and the pipeline use."""
+    import public_tokenizers
+
+    return bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN
+
+
+def bpe_digests(documents: DataFrame) -> DataFrame:
+    """Numbers of tokens and digests of the ids and of the decoded bytes."""
+    ranks, pattern = byte_bpe()
+    coded = bpe.decode(bpe.encode(documents.select("doc_id", "text"), ranks, pattern), ranks)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    rows = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    own = syncmers.anchors(rows.withColumn("_h", syncmers.token_hashes(F.col("text"))), "_h", "_a")
+    own = own.select("doc_id", "text", F.col("_a.hash").alias("own"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    near = syncmers.with_next(own, "doc_id", ["text", "own"], buckets)
+    n = F.char_length("text")
+    cut = F.floor(n / 2).cast("int")
+    near = near.select(
+        "doc_id", n.cast("long").alias("n_chars"), "own", "next_own",
+        F.concat(F.substring("text", 1, n - cut), F.substring("next_text", 1, cut)).alias("edited"),
+    )
+    near = syncmers.anchors(near.withColumn("_h", syncmers.token_hashes(F.col("edited"))), "_h", "_e")
+    edited = F.col("_e.hash")
+    return near.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        syncmers.shown("own").alias("fingerprint"), syncmers.shown(edited).alias("edited_fingerprint"),
+        syncmers.likeness(F.col("own"), edited).alias("near_edited"),
+        syncmers.likeness(F.col("own"), F.col("next_own")).alias("near_next"),
+    )
+
+
+@query
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mixed(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2)
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op7_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    read = warc.reassemble(warc.read_segments(spark, path))
+    return read.select(
+        F.col("page").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"), "complete",
+    )
+
+
+@query
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tricky = F.lit("\\### Assistant: </turn> ok")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), tricky.alias("text"),
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    turns = chat.canonical_turns(chat.records(rows)).drop("record")
+    read = chat.parse_formatted(chat.format_turns(turns).select("conv_id", "formatted", "loss_spans"))
+    read = read.withColumn("loss", chat.loss_text())
+    line = lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))
+    return read.select(
+        "conv_id", F.size("read_turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("read_turns", line), ""), 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
