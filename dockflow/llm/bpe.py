@@ -1,15 +1,16 @@
 """Byte-level BPE: every distinct word of the corpus is encoded once.
 
 Texts are read in blocks of some 24 million characters. A block is written as one dictionary of
-its distinct pre-tokens and, per document, the positions' dictionary numbers. Only the
-dictionaries are shuffled by word; each word is encoded where its rows meet, and the ids go back
+its distinct pre-tokens and, per position, the dictionary number of the pre-token there. Only the
+dictionaries are shuffled by word; each word is encoded where its entries meet, and the ids go back
 to the blocks, where they are put in place by position. Both shuffles carry a word once per block,
-not once per occurrence, and a frequent word has one row per block.
+not once per occurrence, and hold entries of many words in one compressed row.
 """
 
 from __future__ import annotations
 
 import base64
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -48,8 +49,23 @@ def _encoder(ranks: dict[bytes, int], pattern: str):
     return _CACHE[key]
 
 
-def _blocks(key: list[str], text: str, pattern: str, chars: int, schema: T.StructType) -> Callable:
-    """Arrow batches of documents (``codes``) and of their block's dictionary (``word``)."""
+def _packed(numbers: np.ndarray) -> bytes:
+    """Compressed unsigned integers, byte plane by byte plane."""
+    return zlib.compress(np.ascontiguousarray(numbers.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(np.uint32)
+
+
+def _blocks(key: list[str], text: str, pattern: str, chars: int, buckets: int, schema: T.StructType) -> Callable:
+    """Arrow batches of documents and of their blocks' dictionaries.
+
+    A document's row has its ``place`` in the block and its number ``n`` of pre-tokens; the first
+    row of each batch has the batch's dictionary numbers (``codes``), frequent words first. The
+    dictionary has a row per ``bucket`` of word hashes.
+    """
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -58,7 +74,7 @@ def _blocks(key: list[str], text: str, pattern: str, chars: int, schema: T.Struc
 
         target = to_arrow_schema(schema)
         find = splitter(pattern).findall
-        block, words, size = TaskContext.get().partitionId() << 24, {}, 0
+        block, words, held, size = TaskContext.get().partitionId() << 24, {}, [], 0
 
         def rows(n: int, columns: dict):
             columns["block"] = pa.array(np.full(n, block))
@@ -66,23 +82,45 @@ def _blocks(key: list[str], text: str, pattern: str, chars: int, schema: T.Struc
                 [columns[f.name].cast(f.type) if f.name in columns else pa.nulls(n, f.type) for f in target], schema=target
             )
 
-        def dictionary() -> Iterator:
-            names = list(words)
-            for at in range(0, len(names), 50_000):
-                part = names[at : at + 50_000]
-                yield rows(len(part), {"word": pa.array(part), "number": pa.array(np.arange(at, at + len(part)))})
+        def flush() -> Iterator:
+            flat = np.concatenate([np.zeros(0, np.uint32), *(c for _, codes in held for c in codes)])
+            frequent = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
+            number = np.empty(len(words), np.uint32)
+            number[frequent] = np.arange(len(words), dtype=np.uint32)
+            place = 0
+            for part, codes in held:
+                n = len(codes)
+                packed = _packed(number[np.concatenate(codes)])
+                yield rows(n, {c: part.column(c) for c in key} | {
+                    "place": pa.array(np.arange(place, place + n)), "n": pa.array([len(c) for c in codes]),
+                    "codes": pa.array([packed] + [None] * (n - 1), pa.binary()),
+                })
+                place += n
+            by_bucket = [[] for _ in range(buckets)]
+            for word, i in words.items():
+                raw = word.encode()
+                by_bucket[zlib.crc32(raw) % buckets].append((raw, i))
+            for bucket, entries in enumerate(by_bucket):
+                if entries:
+                    entries.sort()
+                    own = number[np.array([i for _, i in entries])]
+                    yield rows(1, {
+                        "bucket": pa.array([bucket]), "codes": pa.array([_packed(own)], pa.binary()),
+                        "words": pa.array([zlib.compress(b"\xff".join(w for w, _ in entries), 3)], pa.binary()),
+                    })
 
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 texts = [t or "" for t in part.column(text).to_pylist()]
-                codes = [np.array([words.setdefault(w, len(words)) for w in find(t)], np.uint32).tobytes() for t in texts]
+                codes = [np.array([words.setdefault(w, len(words)) for w in find(t)], np.uint32) for t in texts]
+                held.append((part.select(key), codes))
                 size += sum(map(len, texts))
-                yield rows(part.num_rows, {k: part.column(k) for k in key} | {"codes": pa.array(codes, pa.binary())})
                 if size >= chars:
-                    yield from dictionary()
-                    block, words, size = block + 1, {}, 0
-        yield from dictionary()
+                    yield from flush()
+                    block, words, held, size = block + 1, {}, [], 0
+        if held:
+            yield from flush()
 
     return run
 
@@ -107,75 +145,70 @@ def encode(
     plain = df.select(*[F.col(f"`{f.name}`").alias(n) for f, n in zip(names, inner)], F.col(f"`{text}`").alias("_t"))
     kinds = [T.StructField(n, f.dataType) for n, f in zip(inner, names)]
     schema = T.StructType([
-        *kinds, T.StructField("block", T.LongType()), T.StructField("codes", T.BinaryType()),
-        T.StructField("word", T.StringType()), T.StructField("number", T.IntegerType()),
+        *kinds, T.StructField("block", T.LongType()), T.StructField("place", T.IntegerType()),
+        T.StructField("n", T.IntegerType()), T.StructField("codes", T.BinaryType()),
+        T.StructField("bucket", T.IntegerType()), T.StructField("words", T.BinaryType()),
     ])
-    blocks = written(plain.mapInArrow(_blocks(inner, "_t", pattern, block_chars, schema), schema), "blocks")
+    # a bucket of the dictionaries is one group of a task, so their number follows the shuffle's
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = written(
+        plain.mapInArrow(_blocks(inner, "_t", pattern, block_chars, buckets, schema), schema), "blocks"
+    )
     table = spark.sparkContext.broadcast(ranks)  # as many entries as the vocabulary, whatever the data
 
-    def encoded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = _encoder(table.value, pattern)
-        last, found = None, b""
-        for frame in frames:
+    def encoded(entries):
+        import pyarrow as pa
+
+        encoder, known = _encoder(table.value, pattern), {}
+        lengths, ids = [], []
+        for raw in entries["words"].to_pylist():
             out = []
-            for word in frame["word"]:
-                if word != last:
-                    last, found = word, np.array(encoder.encode_ordinary(word), np.uint32).tobytes()
+            for word in zlib.decompress(raw).split(b"\xff"):
+                if (found := known.get(word)) is None:
+                    found = known[word] = np.array(encoder.encode_ordinary(word.decode()), np.uint32)
                 out.append(found)
-            lengths = np.fromiter((len(x) // 4 for x in out), np.int32, len(out))
-            order = np.argsort(frame["block"].to_numpy(), kind="stable")
-            block, number = frame["block"].to_numpy()[order], frame["number"].to_numpy()[order]
-            starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]) if len(block) else []
-            ends = [*starts[1:], len(block)]
-            yield pd.DataFrame({
-                "block": block[starts],
-                "numbers": [number[a:b].astype(np.int32).tobytes() for a, b in zip(starts, ends)],
-                "lengths": [lengths[order[a:b]].tobytes() for a, b in zip(starts, ends)],
-                "ids": [_narrow(b"".join([out[k] for k in order[a:b]])) for a, b in zip(starts, ends)],
-            })
+            lengths.append(_packed(np.array([len(x) for x in out])))
+            ids.append(_packed(np.concatenate(out)))
+        return pa.table({
+            "block": entries["block"], "numbers": entries["codes"],
+            "lengths": pa.array(lengths, pa.binary()), "ids": pa.array(ids, pa.binary()),
+        })
 
     entries = (
-        blocks.where("word IS NOT NULL").select("word", "block", "number")
-        .repartition("word").sortWithinPartitions("word")
-        .mapInPandas(encoded, "block long, numbers binary, lengths binary, ids binary")
+        blocks.where("bucket IS NOT NULL").select("block", "bucket", "codes", "words")
+        .groupBy("bucket").applyInArrow(encoded, "block long, numbers binary, lengths binary, ids binary")
     )
 
     def placed(documents, words):
         import pyarrow as pa
 
-        join = lambda c, kind: np.frombuffer(b"".join(words[c].to_pylist()), kind)
-        number, length = join("numbers", np.int32), join("lengths", np.int32)
-        flat = np.concatenate([np.zeros(0, np.int32), *map(_wide, words["ids"].to_pylist())])
+        join = lambda c: np.concatenate([np.zeros(0, np.uint32), *map(_unpacked, words[c].to_pylist())])
+        number, length, flat = join("numbers"), join("lengths").astype(np.int64), join("ids").astype(np.int32)
         begin, size = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
         begin[number], size[number] = np.cumsum(length) - length, length
-        out, ends = [np.zeros(0, np.int32)], [0]
-        for raw in documents["codes"].to_pylist():
-            codes = np.frombuffer(raw, np.uint32)
+        documents = documents.sort_by("place")
+        out, ends, counts, at = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], documents["n"].to_numpy(), 0
+        starts = [i for i, raw in enumerate(documents["codes"].to_pylist()) if raw is not None]
+        for i, after in zip(starts, [*starts[1:], len(counts)]):
+            codes = _unpacked(documents["codes"][i].as_py())
             n = size[codes]
             shift = begin[codes] - (np.cumsum(n) - n)
             out.append(flat[np.arange(n.sum()) + np.repeat(shift, n)])
-            ends.append(ends[-1] + len(out[-1]))
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(out)))
+            tokens = np.r_[0, np.cumsum(n)][np.cumsum(counts[i:after])]
+            ends.append(at + tokens)
+            at += len(out[-1])
+        offsets = pa.array(np.concatenate(ends).astype(np.int32))
+        lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(out)))
         return pa.table({**{c: documents[c] for c in inner}, "ids": lists})
 
     result = T.StructType([*kinds, T.StructField("ids", T.ArrayType(T.IntegerType()))])
     reassembled = (
-        blocks.where("codes IS NOT NULL").select(*inner, "block", "codes").groupBy("block")
+        blocks.where("place IS NOT NULL").select(*inner, "block", "place", "n", "codes").groupBy("block")
         .cogroup(entries.groupBy("block")).applyInArrow(placed, result)
     )
     return reassembled.select(*[F.col(n).alias(f.name) for f, n in zip(names, inner)], F.col("ids").alias(ids))
 
 
-def _narrow(raw: bytes) -> bytes:
-    """Ids in two bytes each where all fit, else in four; the first byte says which."""
-    ids = np.frombuffer(raw, np.uint32)
-    return b"\x02" + ids.astype(np.uint16).tobytes() if ids.max(initial=0) < 1 << 16 else b"\x04" + raw
-
-
-def _wide(packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed[1:], np.uint16 if packed[:1] == b"\x02" else np.uint32).astype(np.int32)
-
-
 def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", name: str = "decoded") -> DataFrame:
     """``df`` with the bytes of the tokens in ``ids``, in order.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockflow.llm import bpe, chat, embeddings, mixing, simhash, syncmers, warc
+from dockflow.llm import bpe, chat, embeddings, mixing, simhash, syncmers, toxicity, warc
 from dockflow.llm.base import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,13 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query
+def op8_toxicity_kn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(documents, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(documents.withColumn("held_out", toxicity.held_out("doc_id")), model)
+    return scored.select(
+        "doc_id", "held_out", "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted")
+    )
