@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockflow.llm import bpe, chat, embeddings, mixing, simhash, syncmers, toxicity, warc
+from dockflow.llm import bpe, chat, embeddings, licenses, mixing, secret_scan, simhash, syncmers, toxicity, warc
 from dockflow.llm.base import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,24 @@ def op8_toxicity_kn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", "held_out", "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted")
     )
+
+
+@query
+def op6_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(documents, secret_scan.fit(documents))
+    count = lambda k: F.size(F.filter("secrets", lambda s: s["kind"] == k)).cast("long")
+    base = F.filter("secrets", lambda s: s["kind"] < 3)
+    return found.select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("secrets")).alias("spans"),
+    )
+
+
+@query
+def op1_license_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.detect(documents)
+    columns = licenses.summary()
+    return found.select("doc_id", "n_words", *[c.alias(k) for k, c in columns.items()])

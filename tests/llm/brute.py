@@ -163,3 +163,24 @@ def base_licenses(text: str | None) -> tuple[int, list[tuple[int, str]]]:
         if found[i : i + len(phrase.split())] == phrase.split()
     ]
     return len(found), sorted(places)
+
+
+def detections(text: str | None, rules) -> list[tuple]:
+    """(start, end, rule, kept) of all signatures, every one tried, all pairs compared."""
+    words = " ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER)))
+    found = []
+    for i, r in enumerate(rules):
+        if r.keyword not in words:
+            continue
+        for m in re.finditer(f"(?<![^ ])(?:{r.pattern})(?![^ ])", words):
+            start = words.count(" ", 0, m.start())
+            found.append((start, start + m[0].count(" ") + 1, i, r.priority))
+    found.sort(key=lambda d: (d[0], -d[1], d[3], d[2]))
+    out = []
+    for a, b, i, p in found:
+        covered = any(
+            x <= a and y >= b and (q < p or q == p and ((y - x) > (b - a) or j < i))
+            for x, y, j, q in found if j != i or (x, y) != (a, b)
+        )
+        out.append((a, b, i, not covered))
+    return out

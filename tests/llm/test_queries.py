@@ -123,3 +123,51 @@ def test_simhash(spark, documents):
     want = dict(zip(ids, brute.simhash_components(ids, prints)))
     assert {k: r["component_id"] for k, r in got.items()} == want
     assert [got[i]["fingerprint"] for i in ids] == [f"{p:016x}" for p in prints]
+
+
+def test_licenses(spark, documents):
+    from dockflow.llm import licenses
+
+    got = result(spark, "op1_license_signatures", "doc_id")
+    seen = set()
+    for r in documents:
+        n, base = brute.base_licenses(r["text"])
+        all_found = brute.detections(r["text"], licenses.RULES)
+        labels = {licenses.RULES[i].label for _, _, i, kept in all_found if kept or i < 3}
+        row = got[r["doc_id"]]
+        assert row["n_words"] == n
+        assert row["n_base"] == len(base)
+        assert row["first_word"] == (base[0][0] if base else None)
+        assert row["last_word"] == (base[-1][0] if base else None)
+        assert row["base_labels"] == ",".join(sorted({label for _, label in base}))
+        assert row["labels"] == ",".join(sorted(labels))
+        assert 0 <= row["score"] <= 1 and (row["score"] > 0) == bool(labels)
+        seen |= labels
+    assert {"mit", "apache-2.0", "gpl-3.0", "cc-by-nc"} <= seen
+
+
+def test_secrets(spark, documents):
+    got = result(spark, "op6_secret_crf", "doc_id")
+    for r in documents:
+        base = brute.base_secrets(r["text"])
+        row = got[r["doc_id"]]
+        counts = [sum(k == kind for _, k, _ in base) for kind in range(3)]
+        assert [row["n_assign"], row["n_access"], row["n_hex"]] == counts
+        names = [f"{brute.BASE[k][0]}:{a}:{b}" for a, k, b in base]
+        assert row["base_sha256"] == brute.sha(",".join(names))
+        assert set(names) <= set(row["spans"].split(","))
+
+
+def test_toxicity(spark):
+    import zlib
+
+    sf_dir = "/root/testdata/sf0.1"
+    got = {r["doc_id"]: r for r in QUERIES["op8_toxicity_kn"](spark, sf_dir).collect()}
+    labels = ds.dataset(f"{sf_dir}/labels.parquet").to_table().to_pylist()
+    assert all(r["held_out"] == (zlib.crc32(str(k).encode()) % 3 == 1) for k, r in got.items())
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in got.values())
+    held = [(r["toxic"], got[r["doc_id"]]["predicted"]) for r in labels if got[r["doc_id"]]["held_out"]]
+    caught = sum(p for t, p in held if t) / sum(t for t, _ in held)
+    spared = sum(1 - p for t, p in held if not t) / sum(1 - t for t, _ in held)
+    # about one toxic row in twelve holds none of the words that mark the others
+    assert caught > 0.88 and spared > 0.995
