@@ -14,7 +14,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DAY = "yyyyMMdd"
-KEY_FORMATS = {"hour": "%Y%m%d%H", "day": "%Y%m%d"}
 
 
 def _col(c: Column | str) -> Column:
@@ -35,9 +34,9 @@ def floor_hour(c: Column | str) -> Column:
     return c.cast("date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour(c))
 
 
-def at_hour(day: Column, hour: Column) -> Column:
-    """Zone-less timestamp of ``hour`` on ``day``."""
-    return day.cast("timestamp_ntz") + F.make_dt_interval(hours=hour)
+def floor_minute(c: Column | str) -> Column:
+    """Start of the minute of a zone-less timestamp."""
+    return floor_hour(c) + F.make_dt_interval(mins=F.minute(_col(c)))
 
 
 # ---- keys ------------------------------------------------------------------------------
@@ -105,68 +104,83 @@ def day_spine(start: date | str, end: date | str) -> Column:
 # ---- run parameters (resolved once, on the driver) ---------------------------------------
 
 
-def format_key(moment: datetime | date, kind: str = "hour") -> str:
-    if kind not in KEY_FORMATS:
-        raise ValueError(f"unknown key kind {kind!r}")
-    return moment.strftime(KEY_FORMATS[kind])
+def day_text(day: date | str) -> str:
+    """Day key of a calendar day, for filters and paths; a key stays as it is."""
+    return day if isinstance(day, str) else f"{day:%Y%m%d}"
 
 
-def parse_key(key: str, kind: str = "hour") -> datetime:
-    return datetime.strptime(key, KEY_FORMATS[kind])
-
-
-def shift_key(key: str, delta: dict[str, int], source: str = "day", target: str = "day") -> str:
-    """Add a ``timedelta`` given as keyword arguments to a key, e.g. ``{"days": -2}``."""
-    return format_key(parse_key(key, source) + timedelta(**delta), target)
+def days_after(day: date, n: int) -> date:
+    return day + timedelta(n)
 
 
 @dataclass(frozen=True)
 class RunDates:
-    """Day keys of one run: the feature range, its warm-up and the neighbours of ``today``."""
+    """Calendar of one run: the feature range ``start``..``end`` and the days around it.
+
+    ``today`` may be given as a day key. Days are dates; text is made where one is compared with
+    a partition column (:func:`day_text`).
+    """
 
-    today: str
-    start: str
-    end: str
+    today: date
+    start: date
+    end: date
     max_lag_days: int = 11
 
     @classmethod
-    def predict(cls, today: str, weeks: int = 2, delay_days: int = 2) -> RunDates:
+    def predict(cls, today: date | str, weeks: int = 2, delay_days: int = 2) -> RunDates:
         """Prediction run: truth is known up to ``delay_days`` before today."""
-        end = shift_key(today, {"days": -delay_days})
-        return cls(today, shift_key(end, {"days": 1 - 7 * weeks}), end)
+        return cls._ending(today, weeks, delay_days)
 
     @classmethod
-    def train(cls, today: str, weeks: int = 6) -> RunDates:
+    def train(cls, today: date | str, weeks: int = 6) -> RunDates:
         """Training run: the range ends today."""
-        return cls(today, shift_key(today, {"days": 1 - 7 * weeks}), today)
+        return cls._ending(today, weeks, 0)
 
-    def shift(self, name: str, days: int) -> str:
-        return shift_key(getattr(self, name), {"days": days})
+    @classmethod
+    def _ending(cls, today: date | str, weeks: int, delay_days: int) -> RunDates:
+        today = date.fromisoformat(today) if isinstance(today, str) else today
+        end = days_after(today, -delay_days)
+        return cls(today, days_after(end, 1 - 7 * weeks), end)
 
     @property
-    def tomorrow(self) -> str:
-        return self.shift("today", 1)
+    def tomorrow(self) -> date:
+        return days_after(self.today, 1)
 
     @property
-    def yesterday(self) -> str:
-        return self.shift("today", -1)
+    def yesterday(self) -> date:
+        return days_after(self.today, -1)
 
     @property
-    def warm_up_start(self) -> str:
+    def warm_up_start(self) -> date:
         """First day needed so that the longest lag of ``start`` exists."""
-        return self.shift("start", -self.max_lag_days)
+        return days_after(self.start, -self.max_lag_days)
 
     @property
-    def activity_start(self) -> str:
+    def activity_start(self) -> date:
         """First of the 14 days over which site activity is judged."""
-        return self.shift("end", -13)
+        return days_after(self.end, -13)
+
+    @property
+    def weather_days(self) -> tuple[date, date]:
+        """Days whose weather the prediction features need: the range, two days ahead."""
+        return days_after(self.start, 2), days_after(self.end, 2)
+
+    @property
+    def fence_days(self) -> tuple[date, date]:
+        """Days whose fences name the cities of a training run."""
+        return days_after(self.end, -10), self.end
 
     @property
-    def label_start(self) -> str:
+    def label_start(self) -> date:
         """First day with a complete two-week history (training)."""
-        return self.shift("start", 14)
+        return days_after(self.start, 14)
 
     @property
-    def label_end(self) -> str:
+    def label_end(self) -> date:
         """Last day whose target two days later is known (training)."""
-        return self.shift("end", -2)
+        return days_after(self.end, -2)
+
+    @property
+    def label_weather_days(self) -> tuple[date, date]:
+        """Days whose weather the daily features need: the label days, a day ahead."""
+        return days_after(self.label_start, 1), days_after(self.label_end, 1)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 
 from dockflow.functions import keys as K
 from dockflow.functions import vectors as V
-from dockflow.operators import numbering, sites
+from dockflow.operators import sites
 from dockflow.sources.readers import between_days, on_the_hour
 
 # ---- fixed values: vector layouts, lag days and defaults of the feature tables -----------
@@ -128,9 +129,9 @@ def fill_defaults(df: DataFrame, defaults: Mapping[str, float]) -> DataFrame:
 def one_per_key(
     df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str], last: bool = False
 ) -> DataFrame:
-    """One row per key: the first (or last) by ``order``, so that repeats agree."""
+    """One row per key: the first (or last) by ``order`` and, where that ties, by the columns."""
     pick = F.max_by if last else F.min_by
-    chosen = df.groupBy(*keys).agg(pick(F.struct(*columns), F.col(order)).alias("_v"))
+    chosen = df.groupBy(*keys).agg(pick(F.struct(*columns), F.struct(order, *columns)).alias("_v"))
     return chosen.select(*keys, "_v.*")
 
 
@@ -172,8 +173,8 @@ def join_weather(
     weather: DataFrame,
     day: str,
     by: str,
-    first: str,
-    last: str,
+    first: date,
+    last: date,
     order: str,
 ) -> DataFrame:
     """Left join of weather and workday by (day, city); ``by`` is the weather day column."""
@@ -208,7 +209,7 @@ def hourly_features(
     if spec.with_weather:
         joined = join_weather(
             joined, weather, "pt", "forecast_date",
-            dates.shift("start", 2), dates.shift("end", 2), order="pred_date",
+            *dates.weather_days, order="pred_date",
         )
         defaults |= spec.weather_defaults
     return fill_defaults(joined, defaults).select("site_guid", "city_guid", "dt", *spec.columns)
@@ -218,8 +219,11 @@ def hourly_features(
 
 
 def city_codes(cities: DataFrame) -> DataFrame:
-    """Dense code per city in alphabetical order."""
-    return numbering.dense_ids(cities, "city_guid", "city_guid_encoded")
+    """Dense code per city in alphabetical order. The cities of a dimension fit one array."""
+    known = cities.agg(F.array_sort(F.collect_set("city_guid")).alias("_cities"))
+    return known.select(F.posexplode("_cities").alias("city_guid_encoded", "city_guid")).select(
+        "city_guid", F.col("city_guid_encoded").cast("bigint").alias("city_guid_encoded")
+    )
 
 
 def encode_city(df: DataFrame, codes: DataFrame) -> DataFrame:
@@ -230,10 +234,9 @@ def encode_city(df: DataFrame, codes: DataFrame) -> DataFrame:
     )
 
 
-def site_days(sites_df: DataFrame, first: str, last: str) -> DataFrame:
+def site_days(sites_df: DataFrame, first: date, last: date) -> DataFrame:
     """Every site on every day of first..last. The days are generated per row, not joined."""
-    iso = lambda key: K.parse_key(key, "day").date()
-    return sites_df.select("*", F.explode(K.day_spine(iso(first), iso(last))).alias("date"))
+    return sites_df.select("*", F.explode(K.day_spine(first, last)).alias("date"))
 
 
 def static_features(
@@ -248,7 +251,7 @@ def static_features(
 ) -> DataFrame:
     """(site_guid, city_guid, pt) and the daily columns; ``pt`` is the day two days ahead."""
     first, last = dates.label_start, dates.label_end
-    history = between_days(orders, K.shift_key(first, {"days": -warm_up_days}), last)
+    history = between_days(orders, K.days_after(first, -warm_up_days), last)
     daily = order_day_lag(sites.daily_orders(history), mode=lag_mode).select(
         "site_guid",
         K.day_of_key("pt").alias("date"),
@@ -262,7 +265,7 @@ def static_features(
     )
     joined = join_weather(
         coded, weather, "pt", "pred_date",
-        K.shift_key(first, {"days": 1}), K.shift_key(last, {"days": 1}), order="forecast_date",
+        *dates.label_weather_days, order="forecast_date",
     )
     return (
         fill_defaults(joined, {"lag7d_order_cnt": 0, "parking_capacity": 0, **defaults})
@@ -304,7 +307,3 @@ def static_vector(
     return df.withColumns(
         {name: F.concat(*parts), "clamped_ids": sum(clamped, F.lit(0))}
     )
-
-
-def numeric_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]

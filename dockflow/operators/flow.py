@@ -148,8 +148,3 @@ def time_range(df: DataFrame, time: str, start: str | None = None, before: str |
     if before is not None:
         df = df.filter(F.col(time) < F.lit(before).cast("timestamp_ntz"))
     return df
-
-
-def select_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Ordered projection; the order is the layout of the vector built from it."""
-    return df.select(*columns)

@@ -3,19 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
-from pyspark import inheritable_thread_target
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dockflow.functions import vectors as V
-from dockflow.sources.sinks import reused
 
 Scorer = Callable[[np.ndarray], np.ndarray]
 
@@ -57,30 +52,55 @@ def lag_regression(
     )
 
 
+def gram_cells(samples: DataFrame, x: str, y: str) -> DataFrame:
+    """Cells ``(i, j, value)`` of the inputs' and a constant's products with themselves and with ``y``.
+
+    With p inputs the rows are i = 0..p (p is the constant 1) and the columns j = 0..p+h (behind the
+    constant come the h outputs). Every task sums its rows in one matrix, and Spark sums the matrices cell by
+    cell, so what is shuffled has the size of the matrix, not of the samples.
+    """
+
+    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for batch in batches:
+            if len(batch):
+                inputs = np.stack(batch["x"].to_numpy()).astype(np.float64)
+                inputs = np.c_[inputs, np.ones(len(batch))]
+                both = np.c_[inputs, np.stack(batch["y"].to_numpy()).astype(np.float64)]
+                part = inputs.T @ both
+                total = part if total is None else total + part
+        if total is not None:
+            yield pd.DataFrame({"columns": [total.shape[1]], "cells": [total.ravel()]})
+
+    rows = samples.select(F.col(x).cast("array<double>").alias("x"), F.col(y).cast("array<double>").alias("y"))
+    cells = rows.mapInPandas(products, "columns int, cells array<double>").select(
+        "columns", F.posexplode("cells").alias("at", "value")
+    )
+    place = [F.floor(F.col("at") / F.col("columns")).alias("i"), (F.col("at") % F.col("columns")).alias("j")]
+    return cells.groupBy(*place).agg(F.sum("value").alias("value"))
+
+
 def fit_linear(
-    samples: DataFrame,
-    x: str,
-    y: str,
-    horizon: int,
-    loss: str = "squaredError",
-    ridge: float = 0.0,
-    parallelism: int = 8,
+    samples: DataFrame, x: str, y: str, horizon: int, ridge: float = 0.0
 ) -> tuple[np.ndarray, np.ndarray]:
-    """One affine map per step ahead, from the input array to ``y[h]``.
+    """One affine map per step ahead, from the input array to ``y[h]``, by least squares.
 
-    Trend and seasonal parts are linear in the input, so one map stands for both. Returns the
-    weights (inputs x horizon) and the offsets (horizon); their size does not depend on the
-    number of samples. ``parallelism`` fits run at a time on the kept samples.
+    Trend and seasonal parts are linear in the input, so one map stands for both. One job sums the products;
+    the driver solves a system whose size does not depend on the number of samples. Returns the
+    weights (inputs x horizon) and the offsets (horizon). ``ridge`` times the number of samples is added to
+    the diagonal of the inputs, not of the constant.
     """
-    ready = samples.select(array_to_vector(F.col(x)).alias("features"), F.col(y).alias("_y"))
-    learner = LinearRegression(loss=loss, regParam=ridge, standardization=False)
-    with reused(ready) as kept, ThreadPoolExecutor(parallelism) as pool:
-        fit = inheritable_thread_target(kept.sparkSession)(
-            lambda h: learner.fit(kept.withColumn("label", F.get("_y", F.lit(h))))
-        )
-        models = list(pool.map(fit, range(horizon)))
-    weights = np.array([m.coefficients.toArray() for m in models]).T
-    return weights, np.array([m.intercept for m in models])
+    cells = gram_cells(samples, x, y).toPandas()
+    if cells.empty:
+        raise ValueError("no samples to fit")
+    size = int(cells["i"].max()) + 1
+    full = np.zeros((size, size + horizon))
+    full[cells["i"], cells["j"]] = cells["value"]
+    gram, right = full[:, :size], full[:, size:]
+    penalty = np.r_[np.full(size - 1, ridge * gram[-1, -1]), 0.0]
+    # least norm where inputs depend on each other
+    solved = np.linalg.lstsq(gram + np.diag(penalty), right, rcond=None)[0]
+    return solved[:-1], solved[-1]
 
 
 def linear_scorer(weights: np.ndarray, offsets: np.ndarray, target: int = 0) -> Scorer:
@@ -112,13 +132,18 @@ def score_sites(
     key: str = "site_guid",
     column: str = "steps",
     horizon: int = 24,
+    batch_mb: float = 64,
 ) -> DataFrame:
     """Score every site; one ``array<double>`` of ``horizon`` values per target.
 
     ``make_scorer`` runs once per task (load a model there). Its result maps a batch of shape
     (sites, steps, width) to (sites, targets, h); longer forecasts are cut, shorter ones filled
-    with zeros. Rows flow in Arrow batches and are never gathered.
+    with zeros. Rows flow in Arrow batches of about ``batch_mb`` and are never gathered.
     """
+    spark, limit = decoded.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = max(1, int(batch_mb * 1e6 / (4 * steps * width)))
+    if not 0 < int(spark.conf.get(limit)) <= rows:
+        spark.conf.set(limit, str(rows))
     schema = ", ".join([f"`{key}` string", *[f"`{t}` array<double>" for t in targets]])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

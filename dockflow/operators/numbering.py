@@ -8,39 +8,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from dockflow.session import ensure_checkpoint_dir
 
-_ROWS_PER_PARTITION_BITS = 33  # layout of monotonically_increasing_id
-
-
-def row_numbers(keys: DataFrame, order: Sequence[str], name: str = "row_id") -> DataFrame:
-    """Number the rows 1..n in the order of the given columns.
+def running_totals(
+    df: DataFrame, order: Sequence[str], value: str | None, name: str, buckets: int = 256
+) -> DataFrame:
+    """Sum of ``value`` (None: number of rows) over all rows before each row, by unique keys.
 
-    The rows are range-partitioned and sorted, and written to the checkpoint folder so that
-    their place does not change when tasks are run again. A row's number is its place inside
-    its partition plus the rows of the partitions before it; only one row per partition is
-    gathered for those offsets. Give narrow frames: what is passed is written once.
+    Rows fall into ranges of the key between the keys of a small sample (those with the
+    smallest hashes). A row's total is that of the ranges before its own plus that of the rows
+    before it in its range, so no task sorts more than one range. Nothing runs before the result
+    is read, and a task that runs again finds the same totals.
     """
-    ensure_checkpoint_dir(keys.sparkSession)
-    ordered = keys.orderBy(*order).checkpoint()
-    place = F.monotonically_increasing_id()
-    placed = ordered.select(
-        "*",
-        F.shiftright(place, _ROWS_PER_PARTITION_BITS).alias("_part"),
-        place.bitwiseAND((1 << _ROWS_PER_PARTITION_BITS) - 1).alias("_place"),
+    key = F.struct(*order)
+    sample = df.select(key.alias("_key")).orderBy(F.xxhash64(*order), "_key").limit(buckets - 1)
+    bounds = sample.agg(F.array_sort(F.collect_list("_key")).alias("_bounds")).scalar()
+    ranged = (
+        df.withColumn("_bounds", bounds)
+        .withColumn("_range", F.size(F.filter("_bounds", lambda b: b < key)))
+        .drop("_bounds")
     )
-    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    amount = F.lit(1) if value is None else F.col(value)
+    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    ahead = W.partitionBy("_range").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    # at most one row per range, here and in the broadcast
     offsets = (
-        placed.groupBy("_part")
-        .agg(F.count("*").alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+        ranged.groupBy("_range")
+        .agg(F.sum(amount).alias("_sum"))
+        .select("_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
     )
-    # at most one row per partition of the sort, so the broadcast is bounded by their number
-    return placed.join(F.broadcast(offsets), "_part").select(
-        *keys.columns, (F.col("_offset") + F.col("_place") + 1).alias(name)
+    inside = ranged.withColumn("_ahead", F.coalesce(F.sum(amount).over(ahead), F.lit(0)))
+    return inside.join(F.broadcast(offsets), "_range").select(
+        *df.columns, (F.col("_offset") + F.col("_ahead")).alias(name)
     )
 
 
+def row_numbers(keys: DataFrame, order: Sequence[str], name: str = "row_id") -> DataFrame:
+    """Number the rows 1..n in the order of the given (together unique) columns."""
+    return running_totals(keys, order, None, name).withColumn(name, F.col(name) + 1)
+
+
 def number_rows(df: DataFrame, key: str, name: str = "row_id") -> DataFrame:
     """Row numbers by a unique key for wide rows: only the key is sorted, then joined back."""
     return df.join(row_numbers(df.select(key), [key], name), key)
@@ -89,7 +95,7 @@ def fraction_exact(
     upto = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, 0)
     everything = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     before = F.col("_upto") - F.col("_rows")
-    # at most 16 ** buckets_hex rows, here and in both broadcasts
+    # at most 16 ** buckets_hex rows, here and in the broadcast
     marks = (
         hashed.groupBy("_bucket")
         .agg(F.count("*").alias("_rows"))
@@ -98,19 +104,12 @@ def fraction_exact(
         .select("_bucket", "_rows", F.least("_rows", F.col("_wanted") - before).alias("_take"))
         .filter(F.col("_take") > 0)
     )
-    whole = marks.filter(F.col("_take") == F.col("_rows"))
-    border = marks.filter(F.col("_take") < F.col("_rows"))
-    taken = hashed.join(F.broadcast(whole), "_bucket", "left_semi").select(df.columns)
-    rank = F.row_number().over(W.partitionBy("_bucket").orderBy("_hash", *keys))
-    partly = (
-        hashed.join(F.broadcast(border), "_bucket")
-        .withColumn("_rank", rank)
-        .filter(F.col("_rank") <= F.col("_take"))
+    # rows of buckets that are taken whole are windows of their own, so they are not ranked
+    border = F.col("_take") < F.col("_rows")
+    apart = W.partitionBy("_bucket", F.when(~border, F.col("_hash"))).orderBy("_hash", *keys)
+    return (
+        hashed.join(F.broadcast(marks), "_bucket")
+        .withColumn("_rank", F.row_number().over(apart))
+        .filter(~border | (F.col("_rank") <= F.col("_take")))
         .select(df.columns)
     )
-    return taken.unionByName(partly)
-
-
-def fraction_about(df: DataFrame, fraction: float, seed: int = 0) -> DataFrame:
-    """A random share of about ``fraction``, in one pass."""
-    return df.sample(fraction=fraction, seed=seed)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockflow.functions import keys as K
+from dockflow.operators import numbering
 from dockflow.operators.flow import ride_ends
 
 # fixed values: calendar order of weekdays
@@ -124,18 +125,18 @@ def histogram(
     lower or upper end is that value or the smallest or largest value, whichever is further
     out. A value on the upper end belongs to the last bin.
     """
-    lower = F.lit(low) if low is not None else F.least(F.min(column), F.lit(at_most))
-    upper = F.lit(high) if high is not None else F.greatest(F.max(column), F.lit(at_least))
-    ends = df.agg(F.struct(lower.cast("double").alias("lo"), upper.cast("double").alias("hi"))).scalar()
-    number = F.least(F.width_bucket(F.col(column).cast("double"), "_lo", "_hi", F.lit(bins)), F.lit(bins))
-    width = (F.col("_hi") - F.col("_lo")) / bins
-    counted = (
-        df.filter(F.col(column).isNotNull())
-        .withColumns({"_lo": ends["lo"], "_hi": ends["hi"]})
-        .groupBy((number - 1).alias("bin"), "_lo", "_hi")
-        .agg(F.count("*").alias("count"))
-    )
-    edge = lambda i: F.col("_lo") + width * i
+    lower = F.lit(low) if low is not None else F.least(F.min("_x"), F.lit(at_most))
+    upper = F.lit(high) if high is not None else F.greatest(F.max("_x"), F.lit(at_least))
+    # counted per value first; the distinct values then meet the range they span in one row, so
+    # the input is read once. Meant for counts, of which there are few distinct ones.
+    per_value = df.select(F.col(column).cast("double").alias("_x")).dropna().groupBy("_x").agg(F.count("*").alias("_n"))
+    ranged = per_value.agg(
+        lower.cast("double").alias("_lo"), upper.cast("double").alias("_hi"),
+        F.collect_list(F.struct("_x", "_n")).alias("_values"),
+    ).select("_lo", "_hi", F.inline("_values"))
+    number = F.least(F.width_bucket("_x", "_lo", "_hi", F.lit(bins)), F.lit(bins))
+    counted = ranged.groupBy((number - 1).alias("bin"), "_lo", "_hi").agg(F.sum("_n").alias("count"))
+    edge = lambda i: F.col("_lo") + (F.col("_hi") - F.col("_lo")) / bins * i
     return counted.select(
         "bin", edge(F.col("bin")).alias("bin_start"), edge(F.col("bin") + 1).alias("bin_end"), "count"
     )
@@ -158,6 +159,12 @@ def by_outflow(totals: DataFrame) -> DataFrame:
     return totals.orderBy(F.desc("total_outflow"), F.asc("station_id"))
 
 
+def ranking(totals: DataFrame) -> DataFrame:
+    """``rank`` of every station in that order, from 1."""
+    keyed = totals.withColumn("_least", -F.col("total_outflow"))
+    return numbering.row_numbers(keyed, ["_least", "station_id"], "rank").drop("_least")
+
+
 def extremes(profile: DataFrame, key: str, order: str, value: str = "outflow") -> DataFrame:
     """Key with the largest and with the smallest value; ties go to the first in order."""
     known = profile.filter(F.col(value).isNotNull())
@@ -228,6 +235,11 @@ def shape(df: DataFrame) -> tuple[int, int]:
     return df.count(), len(df.columns)
 
 
+def shape_row(df: DataFrame) -> DataFrame:
+    """Rows and columns as one row."""
+    return df.agg(F.count("*").alias("rows"), F.lit(len(df.columns)).cast("bigint").alias("columns"))
+
+
 def preview(df: DataFrame, order: Sequence[str], rows: int = 20) -> DataFrame:
     """The first rows in a total order, nulls last."""
     return df.orderBy(*[F.asc_nulls_last(c) for c in order]).limit(rows)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockflow.functions import vectors as V
-from dockflow.functions.keys import two_digits
+from dockflow.functions.keys import day_text, two_digits
 
 # fixed values: forecast columns and the names they are published under
 TARGETS = ("pred_10", "pred_16", "pred_21")
@@ -28,20 +29,20 @@ def whole_counts(
     )
 
 
-def current_fences(fences: DataFrame, day: str, status: int = 5) -> DataFrame:
+def current_fences(fences: DataFrame, day: date | str, status: int = 5) -> DataFrame:
     """City of every fence in service on a day."""
-    return fences.filter((F.col("pt") == day) & (F.col("area_status") == status)).select(
+    return fences.filter((F.col("pt") == day_text(day)) & (F.col("area_status") == status)).select(
         "fence_id", "city_guid"
     )
 
 
 def city_fences(
-    fences: DataFrame, first: str, last: str, status: int = 5, kind: int = 207
+    fences: DataFrame, first: date | str, last: date | str, status: int = 5, kind: int = 207
 ) -> DataFrame:
     """Cities with a fence of a kind in service in a day range."""
     return (
         fences.filter(
-            F.col("pt").between(first, last)
+            F.col("pt").between(day_text(first), day_text(last))
             & (F.col("area_status") == status)
             & (F.col("area_type") == kind)
         )

@@ -2,7 +2,7 @@
 
 A packed sequence holds one entry per step of the range, so its size is bounded by the range
 and not by the number of rides. Samples are slices of it, generated row by row without a
-shuffle; nothing is replicated before the slices are read.
+shuffle; only the slices leave the row, not copies of the sequence.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockflow.functions import vectors as V
+from dockflow.operators import numbering
 from dockflow.operators.sequences import pack_sequences
 
 # fixed values: day ranges (first, end) of the splits
@@ -46,18 +47,35 @@ def daily_samples(
     cases. With ``static`` the daily row of the sample's index goes along; with ``width`` only
     the first features enter ``x``.
     """
-    days = F.floor(F.size(features) / per_day)
-    start = F.col("sample_idx") * per_day + 1
-    label_start = (F.col("sample_idx") + seq_days + gap_days) * per_day + 1
-    x = F.slice(features, start, seq_days * per_day)
-    columns = {"x": x if width is None else V.channels(x, 0, width)}
-    for name, index in targets.items():
-        columns[name] = V.channel(F.slice(features, label_start, horizon), index)
-    if static is not None:
-        columns["static"] = F.get(static, F.col("sample_idx"))
-    rows = _exploded(sequences, days - (seq_days + reserve_days), "sample_idx")
-    dropped = {features, static}
-    return rows.withColumns(columns).drop(*[c for c in dropped if c])
+    count = _sample_count(features, seq_days + reserve_days, per_day)
+
+    def sample(i: Column) -> Column:
+        x = F.slice(features, i * per_day + 1, seq_days * per_day)
+        fields = [i.alias("sample_idx"), (x if width is None else V.channels(x, 0, width)).alias("x")]
+        label_start = (i + seq_days + gap_days) * per_day + 1
+        for name, index in targets.items():
+            fields.append(V.channel(F.slice(features, label_start, horizon), index).alias(name))
+        if static is not None:
+            fields.append(F.get(static, i).alias("static"))
+        return F.struct(*fields)
+
+    others = [c for c in sequences.columns if c not in (features, static)]
+    indices = F.sequence(F.lit(0), count - 1)
+    return sequences.filter(count > 0).select(*others, F.inline(F.transform(indices, sample)))
+
+
+def _sample_count(features: str, days_used: int, per_day: int) -> Column:
+    return (F.floor(F.size(features) / per_day) - days_used).cast("int")
+
+
+def sample_keys(
+    sequences: DataFrame, seq_days: int, reserve_days: int = 3, per_day: int = 24, features: str = "features",
+    static: str | None = None,
+) -> DataFrame:
+    """The keys and indices of :func:`daily_samples` without their slices."""
+    count = _sample_count(features, seq_days + reserve_days, per_day)
+    others = [c for c in sequences.columns if c not in (features, static)]
+    return _exploded(sequences.select(*others, count.alias("_n")), F.col("_n"), "sample_idx").drop("_n")
 
 
 def split_days(
@@ -136,13 +154,11 @@ def ratio_split(
     return df.withColumn("split", name)
 
 
-def sample_rows(
-    samples: DataFrame, numbered_sites: DataFrame, per_site: int, site: str, name: str = "row_id"
-) -> DataFrame:
-    """Row id of every sample in (site, index) order, from the site's number alone.
+def sample_rows(samples: DataFrame, site: str, name: str = "row_id") -> DataFrame:
+    """Row id of every sample in (site, index) order, from running sums of the sites' sample counts.
 
-    Every site has ``per_site`` samples, so no global sort of the samples is needed.
+    A site's samples have the indices 0 to n - 1; n may differ from site to site.
     """
-    row = (F.col("_site_no") - 1) * per_site + F.col("sample_idx") + 1
-    sites = numbered_sites.select(site, F.col("row_id").alias("_site_no"))
-    return samples.join(sites, site).withColumn(name, row).drop("_site_no")
+    counts = samples.groupBy(site).agg(F.count("*").alias("_samples"))
+    before = numbering.running_totals(counts, [site], "_samples", "_before").drop("_samples")
+    return samples.join(before, site).withColumn(name, F.col("_before") + F.col("sample_idx") + 1).drop("_before")

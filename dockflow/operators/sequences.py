@@ -15,8 +15,12 @@ def latest_rows(df: DataFrame, key: str, time: str, count: int) -> DataFrame:
     """The ``count`` latest rows of every key.
 
     Spark limits each key to ``count`` rows already before the shuffle, so a key with very
-    many rows does not reach one task whole.
+    many rows does not reach one task whole. It does so up to a threshold of the session, which
+    is raised here where ``count`` is beyond it.
     """
+    spark, limit = df.sparkSession, "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(spark.conf.get(limit)) < count:
+        spark.conf.set(limit, str(count))
     rank = F.row_number().over(W.partitionBy(key).orderBy(F.desc(time)))
     return df.withColumn("_rank", rank).filter(F.col("_rank") <= count).drop("_rank")
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dockflow.operators import features as ft
 from dockflow.plans import queries as q
-from dockflow.sources import testdata as td
+from dockflow.sources import adapters as td
 
 # ---- common table expressions, each naming those it reads ---------------------------------
 
@@ -108,7 +108,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         ("daily",),
         f"""SELECT site_guid, max(daily_order_cnt) AS max_daily_orders,
             avg(daily_order_cnt) AS mean_daily_orders
-          FROM daily WHERE pt BETWEEN '{q.PREDICT.activity_start}' AND '{q.PREDICT.end}'
+          FROM daily WHERE pt BETWEEN '20240117' AND '20240130'
           GROUP BY 1""",
     ),
     "max_sites": (
@@ -178,8 +178,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
               count(*) FILTER (ride_type = 'signup') % 4 AS cycle_weather_level,
               round(avg(value), 1) AS mean_value
             FROM departures GROUP BY 1, 2)
-          CROSS JOIN (VALUES (1), (2)) a(ahead)
-          WHERE strftime(day, '%Y%m%d') NOT IN {td.DAYS_WITHOUT_WEATHER}""",
+          CROSS JOIN (VALUES (1), (2)) a(ahead)""",
     ),
     "predict_features": (
         ("labels_", "max_sites", "snapshots", "weather"),
@@ -191,7 +190,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
             CAST(dayofweek(strptime(l.pt, '%Y%m%d')) + 1 AS DOUBLE) AS day_of_week,
             CAST(l.hour AS DOUBLE) AS hour
           FROM (SELECT *, {_lags()} FROM labels_
-                WHERE pt BETWEEN '{q.PREDICT.warm_up_start}' AND '{q.PREDICT.end}'
+                WHERE pt BETWEEN '20240106' AND '20240130'
                   AND site_guid IN (SELECT site_guid FROM max_sites)
                 WINDOW w AS (PARTITION BY site_guid, hour ORDER BY pt)) l
           LEFT JOIN snapshots s
@@ -201,10 +200,10 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                 arg_min(temperature_avg_val, pred_date) AS temperature_avg_val,
                 arg_min(workday_level, pred_date) AS workday_level
               FROM weather
-              WHERE forecast_date BETWEEN '{q.PREDICT.shift("start", 2)}'
-                AND '{q.PREDICT.shift("end", 2)}' GROUP BY 1, 2) w
+              WHERE forecast_date BETWEEN '20240119'
+                AND '20240201' GROUP BY 1, 2) w
             ON w.city_guid = l.city_guid AND w.forecast_date = l.pt
-          WHERE l.pt BETWEEN '{q.PREDICT.start}' AND '{q.PREDICT.end}'""",
+          WHERE l.pt BETWEEN '20240117' AND '20240130'""",
     ),
     "train_features": (
         ("labels_", "train_sites", "snapshots"),
@@ -213,12 +212,12 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                      "put_veh_cnt", "idle_12h_cnt", "idle_1d_cnt", *_LAG_SQL])},
             CAST(l.hour AS DOUBLE) AS hour
           FROM (SELECT *, {_lags()} FROM labels_
-                WHERE pt BETWEEN '{q.TRAIN.warm_up_start}' AND '{q.TRAIN.end}'
+                WHERE pt BETWEEN '20231223' AND '20240130'
                   AND site_guid IN (SELECT site_guid FROM train_sites)
                 WINDOW w AS (PARTITION BY site_guid, hour ORDER BY pt)) l
           LEFT JOIN snapshots s
             ON s.parking_guid = l.site_guid AND s.dt = l.pt || lpad(CAST(l.hour AS VARCHAR), 2, '0')
-          WHERE l.pt BETWEEN '{q.TRAIN.start}' AND '{q.TRAIN.end}'""",
+          WHERE l.pt BETWEEN '20240103' AND '20240130'""",
     ),
     "train_packed": (
         ("train_features",),
@@ -247,12 +246,11 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
             CAST(coalesce(w.cycle_weather_level, 2) AS DOUBLE) AS cycle_weather_level
           FROM (SELECT site_guid, city_guid, CAST(day AS DATE) AS day FROM train_packed
                 CROSS JOIN (SELECT unnest(generate_series(
-                  strptime('{q.TRAIN.label_start}', '%Y%m%d'),
-                  strptime('{q.TRAIN.label_end}', '%Y%m%d'), INTERVAL 1 DAY)) AS day)) p
+                  strptime('20240117', '%Y%m%d'),
+                  strptime('20240128', '%Y%m%d'), INTERVAL 1 DAY)) AS day)) p
           LEFT JOIN (SELECT *, lag(daily_order_cnt, 5) OVER (PARTITION BY site_guid ORDER BY pt)
                   AS lag7d_order_cnt
-                FROM daily WHERE pt >= strftime(strptime('{q.TRAIN.label_start}', '%Y%m%d')
-                  - INTERVAL 10 DAY, '%Y%m%d') AND pt <= '{q.TRAIN.label_end}') d
+                FROM daily WHERE pt >= '20240107' AND pt <= '20240128') d
             ON d.site_guid = p.site_guid AND d.pt = strftime(p.day, '%Y%m%d')
           LEFT JOIN codes c ON c.city_guid = p.city_guid
           LEFT JOIN (SELECT city_guid, pred_date,
@@ -261,8 +259,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                 arg_min(workday_level, forecast_date) AS workday_level
               FROM weather
               WHERE pred_date BETWEEN
-                  strftime(strptime('{q.TRAIN.label_start}', '%Y%m%d') + INTERVAL 1 DAY, '%Y%m%d')
-                AND strftime(strptime('{q.TRAIN.label_end}', '%Y%m%d') + INTERVAL 1 DAY, '%Y%m%d')
+                  '20240118'
+                AND '20240129'
               GROUP BY 1, 2) w
             ON w.city_guid = p.city_guid AND w.pred_date = strftime(p.day + 2, '%Y%m%d')""",
     ),
@@ -290,6 +288,20 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
             ON a.step >= i.sample_idx * 24 AND a.step < (i.sample_idx + 8) * 24
           GROUP BY 1, 2""",
     ),
+    "cells": (
+        ("flow_steps",),
+        f"""SELECT station_id, sample_idx,
+            CASE WHEN step - sample_idx * 24 < 168 THEN step - sample_idx * 24
+              ELSE step - sample_idx * 24 + 1 END AS i, CAST(outflow AS DOUBLE) AS v
+          FROM flow_steps JOIN (SELECT unnest(range({td.DAYS - 10})) AS sample_idx)
+            ON step >= sample_idx * 24 AND step < (sample_idx + 8) * 24
+          UNION ALL SELECT DISTINCT station_id, unnest(range({td.DAYS - 10})), 168, 1 FROM flow_steps""",
+    ),
+    "ends": (
+        ("cells",),
+        """SELECT a.station_id, a.sample_idx, a.v AS x, b.i - 169 AS hour, b.v AS y
+          FROM cells a JOIN cells b USING (station_id, sample_idx) WHERE a.i = 167 AND b.i > 168""",
+    ),
     "windows": (
         ("flow_steps",),
         f"""SELECT a.station_id, i.sample_idx,
@@ -532,7 +544,7 @@ ORACLE: dict[str, str] = {
         f"""SELECT site_guid, city_guid, label_10, label_16, label_21, hour, pt, {_zeros(_LAG_SQL)}
           FROM (SELECT *, {_lags()} FROM labels_
                 WINDOW w AS (PARTITION BY site_guid, hour ORDER BY pt))
-          WHERE pt BETWEEN '{q.PREDICT.start}' AND '{q.PREDICT.end}'""",
+          WHERE pt BETWEEN '20240117' AND '20240130'""",
         "labels_",
     ),
     "same_hour_lags_calendar": _with(
@@ -543,7 +555,7 @@ ORACLE: dict[str, str] = {
               AND p{k}.pt = strftime(strptime(l.pt, '%Y%m%d') - INTERVAL {k} DAY, '%Y%m%d')"""
             for k in ft.LAG_DAYS
         )
-        + f" WHERE l.pt BETWEEN '{q.PREDICT.start}' AND '{q.PREDICT.end}'",
+        + f" WHERE l.pt BETWEEN '20240117' AND '20240130'",
         "labels_",
     ),
     "order_day_lag": _with(
@@ -664,6 +676,21 @@ ORACLE: dict[str, str] = {
           FROM open_samples""",
         "open_samples",
     ),
+    "linear_gram": _with(
+        """SELECT CAST(a.i AS BIGINT) AS i, CAST(b.i AS BIGINT) AS j, sum(a.v * b.v) AS value
+          FROM (SELECT * FROM cells WHERE i <= 168) a JOIN cells b USING (station_id, sample_idx)
+          GROUP BY 1, 2""",
+        "cells",
+    ),
+    "linear_forecast": _with(
+        f"""SELECT t.station_id, CAST(t.sample_idx AS BIGINT) AS sample_idx,
+            CAST(t.hour AS BIGINT) AS hour, t.y AS y_true,
+            round(f.slope * t.x + f.intercept, 6) AS y_pred
+          FROM ends t JOIN (SELECT hour, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept
+            FROM ends WHERE sample_idx < 14 GROUP BY 1) f USING (hour)
+          WHERE t.sample_idx >= 14""",
+        "ends",
+    ),
     "trend_seasonal": _with(
         f"""SELECT a.station_id, {_big("sample_idx")}, CAST(a.step AS BIGINT) AS step,
             any_value(a.v) AS value, {_r("sum(b.v) / 49", "trend")},
@@ -894,4 +921,47 @@ ORACLE: dict[str, str] = {
         + " FROM rides",
         "rides",
     ),
+    "value_counts": _with(
+        "SELECT "
+        + ", ".join(
+            f"count({c}) AS {n}_values"
+            for c, n in (
+                ("event_id", "ride_id"), ("ride_type", "ride_type"), ("ts", "started_at"),
+                ("station", "start_station_id"),
+            )
+        )
+        + " FROM departures",
+        "departures",
+    ),
+    "panel_shape": _with("SELECT count(*) AS rows, CAST(4 AS BIGINT) AS columns FROM panel", "panel"),
+    "panel_head": _with(
+        f"""SELECT station_id, hour, {_big("inflow", "outflow")} FROM panel
+          ORDER BY station_id, hour LIMIT 20""",
+        "panel",
+    ),
+    "station_ranking": _with(
+        """SELECT row_number() OVER (ORDER BY total_outflow DESC, station_id) AS rank, station_id,
+            total_outflow FROM totals""",
+        "totals",
+    ),
+    "shifted_keys": _with(
+        """SELECT event_id, strftime(ts, '%Y%m%d%H') AS dt,
+            strftime(ts - INTERVAL 2 DAY, '%Y%m%d%H') AS dt_2d_before,
+            strftime(ts - INTERVAL 1 DAY, '%Y%m%d') AS pt_before,
+            strftime(ts + INTERVAL 1 DAY, '%Y%m%d') AS pt_after,
+            CAST((dayofweek(ts) + 6) % 7 AS BIGINT) AS weekday
+          FROM departures""",
+        "departures",
+    ),
+    "stacked_rides": _with(
+        """SELECT event_id, CASE WHEN event_id % 9 <> 4 THEN ts END AS started_at,
+            station AS start_station_id
+          FROM departures""",
+        "departures",
+    ),
+    "numeric_ids": _with(
+        """SELECT event_id, TRY_CAST(station AS BIGINT) AS station, TRY_CAST(ride_type AS BIGINT) AS kind
+          FROM departures""",
+        "departures",
+    ),
 }

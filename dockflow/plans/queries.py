@@ -27,7 +27,8 @@ from dockflow.operators import (
     sequences,
     sites,
 )
-from dockflow.sources import testdata as td
+from dockflow.sources import adapters as td
+from dockflow.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,6 +46,8 @@ TRAIN_STEPS = 320
 DAILY_STEPS = 12
 PAST, FUTURE = 72, 24
 BATCH = 64
+TRAIN_SAMPLES = 14
+OUTFLOW = td.FLOW_FEATURES.index("outflow")
 DAY_SPLITS = {"train": (0, 18), "val": (18, 24), "test": (24, 30)}
 OVERLAP_SPLITS = {"train": (0, 23), "val": (5, 26), "test": (9, 30)}
 OVERLAP_STATIC = {"train": (0, 6), "val": (6, 10), "test": (10, 14)}
@@ -243,9 +246,15 @@ def _train_packed(spark, sf_dir):
     )
 
 
+def _packed_sites(spark, sf_dir):
+    """Sites with a whole training sequence, by a count of their hours instead of the sequences."""
+    hours = _train_features(spark, sf_dir).groupBy("site_guid", "city_guid").agg(F.count("*").alias("n"))
+    return hours.filter(F.col("n") >= TRAIN_STEPS).drop("n")
+
+
 def _static(spark, sf_dir):
     return features.static_features(
-        _train_packed(spark, sf_dir).select("site_guid", "city_guid"),
+        _packed_sites(spark, sf_dir),
         td.orders(spark, sf_dir),
         features.city_codes(td.known_cities(spark, sf_dir)),
         td.weather_workday(spark, sf_dir),
@@ -413,16 +422,14 @@ def ratio_split(spark, sf_dir):
 
 @query
 def train_subsample(spark, sf_dir):
-    ids = _open_samples(spark, sf_dir).select("station_id", "sample_idx")
+    ids = samples.sample_keys(_flow_sequences(spark, sf_dir), 7)
     return _tidy(numbering.fraction_exact(ids, ["station_id", "sample_idx"], 0.4, seed=7))
 
 
 @query
 def full_batches(spark, sf_dir):
-    sequences_ = _flow_sequences(spark, sf_dir)
-    numbered = numbering.row_numbers(sequences_.select("station_id"), ["station_id"])
-    ids = _open_samples(spark, sf_dir).select("station_id", "sample_idx")
-    rows = samples.sample_rows(ids, numbered, td.DAYS - 10, "station_id")
+    ids = samples.sample_keys(_flow_sequences(spark, sf_dir), 7)
+    rows = samples.sample_rows(ids, "station_id")
     return _tidy(numbering.pages(numbering.full_pages_only(rows, BATCH), BATCH))
 
 
@@ -470,20 +477,38 @@ def lag_regression(spark, sf_dir):
     return _tidy(forecast.lag_regression(_future(spark, sf_dir), "station_id", "hour", "future_12h_outflow"))
 
 
+def _outflow_samples(spark, sf_dir):
+    """A week of hourly departures and those of the day after."""
+    cut = samples.daily_samples(_flow_sequences(spark, sf_dir), 7, {"y": OUTFLOW})
+    return cut.withColumn("x", V.channel("x", OUTFLOW))
+
+
+@query
+def linear_gram(spark, sf_dir):
+    ready = _outflow_samples(spark, sf_dir).select("x", "y")
+    return _tidy(forecast.gram_cells(ready, "x", "y"))
+
+
 @query
 def linear_forecast(spark, sf_dir):
-    ready = _open_samples(spark, sf_dir).withColumn("x0", V.channel("x", 0))
-    weights, offsets = forecast.fit_linear(ready, "x0", "y", 24, ridge=0.01)
+    """Fitted on the first samples of every station, scored on the others, next to their truth."""
+    last = F.array(F.element_at("x", -1))
+    ready = _outflow_samples(spark, sf_dir).select("station_id", "sample_idx", last.alias("last"), "y")
+    train = F.col("sample_idx") < TRAIN_SAMPLES
+    weights, offsets = forecast.fit_linear(ready.filter(train), "last", "y", 24)
+    test = ready.filter(~train).withColumn("id", F.concat_ws("|", "station_id", "sample_idx"))
     scored = forecast.score_sites(
-        ready.withColumn("id", F.concat_ws("|", "station_id", "sample_idx")),
+        test.withColumn("steps", F.array("last")),
         lambda: forecast.linear_scorer(weights, offsets),
-        7 * 24,
-        len(td.FLOW_FEATURES),
+        1,
+        1,
         targets=("y_pred",),
         key="id",
-        column="x",
     )
-    return _tidy(scored.select("id", F.posexplode("y_pred").alias("hour", "y_pred")))
+    both = test.join(scored, "id").select(
+        "station_id", "sample_idx", F.posexplode(F.arrays_zip("y", "y_pred")).alias("hour", "v")
+    )
+    return _tidy(both.select("station_id", "sample_idx", "hour", F.col("v.y").alias("y_true"), "v.y_pred"))
 
 
 def _scored(spark, sf_dir):
@@ -658,3 +683,69 @@ def panel_quality(spark, sf_dir):
 @query
 def ride_nulls(spark, sf_dir):
     return _tidy(profile.null_counts(td.rides(spark, sf_dir)))
+
+
+@query
+def value_counts(spark, sf_dir):
+    return _tidy(profile.value_counts(td.ride_starts(spark, sf_dir)))
+
+
+@query
+def panel_shape(spark, sf_dir):
+    return _tidy(profile.shape_row(td.panel(spark, sf_dir)))
+
+
+@query
+def panel_head(spark, sf_dir):
+    return _tidy(profile.preview(td.panel(spark, sf_dir), ["station_id", "hour"]))
+
+
+@query
+def station_ranking(spark, sf_dir):
+    """Place of every station, most departures first."""
+    ranked = profile.ranking(_totals(spark, sf_dir))
+    return _tidy(ranked.select("rank", "station_id", "total_outflow"))
+
+
+# ---- keys and raw rows -------------------------------------------------------------------
+
+
+@query
+def shifted_keys(spark, sf_dir):
+    """Day keys a day before and after, and hour keys of two days before."""
+    day = K.day_key("ts").alias("pt")
+    rows = td.departures(spark, sf_dir).select("event_id", day, F.hour("ts").alias("hour"))
+    return _tidy(
+        rows.select(
+            "event_id",
+            K.hour_key("pt", "hour").alias("dt"),
+            K.shifted_hour_key("pt", "hour").alias("dt_2d_before"),
+            K.shift_day_key("pt", -1).alias("pt_before"),
+            K.shift_day_key("pt", 1).alias("pt_after"),
+            K.weekday_monday0(K.day_of_key("pt")).alias("weekday"),
+        )
+    )
+
+
+@query
+def stacked_rides(spark, sf_dir):
+    """Two sources with their columns in another order, times as text, stacked and typed."""
+    events = td.departures(spark, sf_dir)
+    text = F.when(F.col("event_id") % 9 == 4, "no time").otherwise(F.col("ts").cast("string"))
+    rides = events.select("event_id", text.alias("started_at"), "start_station_id")
+    even = rides.filter("event_id % 2 = 0")
+    odd = rides.filter("event_id % 2 = 1").select("start_station_id", "event_id", "started_at")
+    return _tidy(readers.type_rides(even.unionByName(odd)))
+
+
+@query
+def numeric_ids(spark, sf_dir):
+    """Numeric reading of ride types and station ids, null where they are no numbers."""
+    ids = td.departures(spark, sf_dir)
+    return _tidy(
+        ids.select(
+            "event_id",
+            readers.numeric_if_possible("start_station_id").alias("station"),
+            readers.numeric_if_possible("ride_type").alias("kind"),
+        )
+    )

@@ -6,8 +6,9 @@ where they were written, so that a later step never recomputes an earlier one.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,12 @@ SCHEMAS = {
     "weather": schemas.WEATHER_WORKDAY,
     "fences": schemas.FENCE_DIM,
 }
+SINKS = {
+    "predict_features": schemas.PREDICT_FEATURES,
+    "train_features": schemas.TRAIN_FEATURES,
+    "hourly_predictions": schemas.HOURLY_PREDICTIONS,
+    "json_predictions": schemas.JSON_PREDICTIONS,
+}
 
 
 @dataclass(frozen=True)
@@ -39,19 +46,40 @@ class Places:
     """Where the day-partitioned sources are and where results go.
 
     ``sources`` maps ``orders, labels, snapshots, weather, fences`` to a path in ``fmt``, or to a
-    catalog table if ``fmt`` is None. Results go below ``out``.
+    catalog table if ``fmt`` is None. Results then go to declared tables of the database ``out``,
+    else to folders below ``out``. ``names`` renames columns of a source.
     """
 
     sources: Mapping[str, str]
     out: str
     fmt: str | None = "parquet"
+    names: Mapping[str, Mapping[str, str]] = field(default_factory=lambda: {"orders": schemas.ORDER_NAMES})
 
-    def days(self, spark: SparkSession, name: str, first: str, last: str, day: str = "pt") -> DataFrame:
-        schema = None if self.fmt is None else SCHEMAS[name]
-        return readers.read_days(spark, self.sources[name], first, last, self.fmt, day, schema)
+    def days(self, spark: SparkSession, name: str, first: date, last: date, day: str = "pt") -> DataFrame:
+        renamed = self.names.get(name)
+        return readers.read_days(spark, self.sources[name], first, last, self.fmt, day, SCHEMAS[name], renamed)
 
     def sink(self, name: str) -> str:
-        return f"{self.out}/{name}"
+        return f"{self.out}.{name}" if self.fmt is None else f"{self.out}/{name}"
+
+    def put(self, df: DataFrame, name: str, day: date | str, order: Sequence[str] = ()) -> DataFrame:
+        """Write one day of a result and read it from there."""
+        spark, target = df.sparkSession, self.sink(name)
+        if name in SINKS:
+            df = sinks.checked(df, SINKS[name])
+        if self.fmt is None:
+            columns = [(f.name, f.dataType.simpleString(), "") for f in df.schema.fields if f.name != "pt"]
+            sinks.create_day_table(spark, target, columns)
+            sinks.overwrite_table_day(df, day, target, order=order)
+        else:
+            sinks.overwrite_day(df, day, target, order=order)
+        return self.got(spark, name, day)
+
+    def got(self, spark: SparkSession, name: str, day: date | str) -> DataFrame:
+        """One written day, without listing the others."""
+        if self.fmt is None:
+            return readers.between_days(spark.table(self.sink(name)), day, day).drop("pt")
+        return spark.read.parquet(f"{self.sink(name)}/pt={K.day_text(day)}")
 
 
 @dataclass(frozen=True)
@@ -63,11 +91,6 @@ class Thresholds:
     train_mean: float = 10
 
 
-def _read_day(spark: SparkSession, path: str, day: str) -> DataFrame:
-    """One written day, without listing the others."""
-    return spark.read.parquet(f"{path}/pt={day}")
-
-
 # ---- prediction features -----------------------------------------------------------------
 
 
@@ -89,7 +112,7 @@ def write_predict_features(
         active,
         places.days(spark, "snapshots", dates.start, dates.end),
         places.days(
-            spark, "weather", dates.shift("start", 2), dates.shift("end", 2), "forecast_date"
+            spark, "weather", *dates.weather_days, "forecast_date"
         ),
         dates,
         spec,
@@ -97,9 +120,8 @@ def write_predict_features(
     packed = sequences.pack_sequences(
         hourly, ["site_guid"], "dt", spec.columns, steps or weeks * 7 * 24
     )
-    path = places.sink("predict_features")
-    sinks.overwrite_day(packed.withColumn("features", F.to_json("features")), dates.tomorrow, path)
-    return _read_day(spark, path, dates.tomorrow)
+    text = packed.withColumn("features", F.to_json("features"))
+    return places.put(text, "predict_features", dates.tomorrow, ["site_guid"])
 
 
 # ---- scoring and publishing --------------------------------------------------------------
@@ -116,21 +138,23 @@ def score_and_publish(
     """Decode tomorrow's features, score them, publish hourly rows and JSON; keep the rejects."""
     dates = K.RunDates.predict(today)
     day = dates.tomorrow
-    encoded = _read_day(spark, places.sink("predict_features"), day)
+    encoded = places.got(spark, "predict_features", day)
     decoded = sequences.decode_sequences(encoded, "features", steps, width)
-    sinks.overwrite_day(sequences.rejected(decoded), day, places.sink("rejected_features"))
+    bad = places.put(sequences.rejected(decoded), "rejected_features", day)
     scored = forecast.score_sites(sequences.accepted(decoded), make_scorer, steps, width)
     counts = publish.whole_counts(scored.withColumnRenamed("site_guid", "id"))
-    sinks.overwrite_day(counts, day, places.sink("forecasts"))
     # the scorer runs once; both published forms read its written result
-    counts = _read_day(spark, places.sink("forecasts"), day)
+    counts = places.put(counts, "forecasts", day)
     fences = publish.current_fences(
         places.days(spark, "fences", dates.yesterday, dates.yesterday), dates.yesterday
     )
-    sinks.overwrite_day(publish.hourly_rows(counts, fences), day, places.sink("hourly_predictions"))
-    sinks.overwrite_day(publish.json_rows(counts), day, places.sink("json_predictions"))
-    names = ("rejected_features", "forecasts", "hourly_predictions", "json_predictions")
-    return {n: _read_day(spark, places.sink(n), day) for n in names}
+    hourly = places.put(publish.hourly_rows(counts, fences), "hourly_predictions", day, ["parking_guid", "hour"])
+    return {
+        "rejected_features": bad,
+        "forecasts": counts,
+        "hourly_predictions": hourly,
+        "json_predictions": places.put(publish.json_rows(counts), "json_predictions", day),
+    }
 
 
 # ---- training export -----------------------------------------------------------------------
@@ -164,24 +188,20 @@ def write_training_features(
     packed = sequences.pack_sequences(
         hourly, ["site_guid", "city_guid"], "dt", spec.columns, steps or weeks * 7 * 24, "hourly_features"
     ).withColumn("hourly_features", F.to_json("hourly_features"))
-    hourly_path = places.sink("train_hourly")
-    sinks.overwrite_day(packed, day, hourly_path)
-    packed = _read_day(spark, hourly_path, day)
+    packed = places.put(packed, "train_hourly", day)
 
     first, last = dates.label_start, dates.label_end
-    fences = places.days(spark, "fences", dates.shift("end", -10), dates.end)
-    codes = features.city_codes(publish.city_fences(fences, dates.shift("end", -10), dates.end))
-    codes_path = places.sink("city_codes")
-    sinks.overwrite_day(codes, day, codes_path)
+    fences = places.days(spark, "fences", *dates.fence_days)
+    codes = features.city_codes(publish.city_fences(fences, *dates.fence_days))
+    codes = places.put(codes, "city_codes", day)
     static = features.static_features(
         packed.select("site_guid", "city_guid"),
-        places.days(spark, "orders", K.shift_key(first, {"days": -10}), last),
-        _read_day(spark, codes_path, day),
+        places.days(spark, "orders", K.days_after(first, -10), last),
+        codes,
         places.days(
             spark,
             "weather",
-            K.shift_key(first, {"days": 1}),
-            K.shift_key(last, {"days": 1}),
+            *dates.label_weather_days,
             "pred_date",
         ),
         dates,
@@ -194,9 +214,8 @@ def write_training_features(
         daily_steps or weeks * 7 - 16,
         "static_features",
     ).withColumn("static_features", F.to_json("static_features"))
-    path = places.sink("train_features")
-    sinks.overwrite_day(sequences.join_sequences(packed, daily_packed), day, path)
-    return _read_day(spark, path, day)
+    joined = sequences.join_sequences(packed, daily_packed)
+    return places.put(joined, "train_features", day, ["site_guid"])
 
 
 def export_batches(
@@ -206,9 +225,15 @@ def export_batches(
     batch_size: int = 2500,
     hourly_shape: tuple[int, int] = (1008, len(features.TRAIN_COLUMNS)),
     static_shape: tuple[int, int] = (26, len(features.DAILY_COLUMNS)),
+    folder: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Validated matrices in pages of sites, and how hourly and daily ones line up per page."""
-    encoded = _read_day(spark, places.sink("train_features"), day)
+    """Validated matrices in pages of sites, and how hourly and daily ones line up per page.
+
+    Batches are files: below ``folder``, or below ``places.out`` where that is a path.
+    """
+    if places.fmt is None and folder is None:
+        raise ValueError("name a folder for the batches")
+    encoded = places.got(spark, "train_features", day)
     keys = numbering.row_numbers(encoded.select("site_guid"), ["site_guid"])
     paged = encoded.join(numbering.pages(keys, batch_size), "site_guid")
 
@@ -224,8 +249,9 @@ def export_batches(
         ("batches_hourly", "hourly_features", hourly_shape),
         ("batches_static", "static_features", static_shape),
     ):
-        sinks.write_batches(good(column, shape), places.sink(name))
-        out[name] = sinks.read_batches(spark, places.sink(name))
+        path = f"{folder or places.out}/{name}"
+        sinks.write_batches(good(column, shape), path)
+        out[name] = sinks.read_batches(spark, path)
     out["alignment"] = sequences.alignment(
         out["batches_hourly"], out["batches_static"], "site_guid", ["batch_id"], ("hourly", "static")
     )
@@ -259,7 +285,7 @@ def prepare_open_rides(
     paths: str | list[str],
     out: str,
     span: OpenRange = OpenRange(),
-    same_header: bool = True,
+    same_header: bool = False,
     keep_unknown: bool = False,
 ) -> dict[str, DataFrame]:
     """Ride CSVs to the dense panel, its lag features and one packed sequence per station."""
@@ -274,13 +300,13 @@ def prepare_open_rides(
     rides = spark.read.parquet(f"{out}/rides")
     hourly = flow.hourly_flow(rides, keep_unknown)
     panel = flow.dense_panel(hourly, span.start, span.end)
-    flow.future_flow(panel, cutoff=span.cutoff).write.mode("overwrite").parquet(f"{out}/panel")
+    flow.future_flow(panel, cutoff=span.cutoff).sortWithinPartitions("station_id", "hour").write.mode("overwrite").parquet(f"{out}/panel")
     future = spark.read.parquet(f"{out}/panel")
-    sinks.write_csv(future, f"{out}/panel_csv")
+    sinks.write_csv(future, f"{out}/panel_csv", order=["station_id", "hour"])
 
     busy = sites.busy_stations(rides, span.busy_from, span.busy_before, span.busy_mean)
     lagged = features.panel_lags(sites.keep_sites(future, busy, "station_id", "station_id"))
-    lagged.write.mode("overwrite").parquet(f"{out}/lagged")
+    lagged.sortWithinPartitions("station_id", "hour").write.mode("overwrite").parquet(f"{out}/lagged")
     lagged = spark.read.parquet(f"{out}/lagged")
 
     kept = flow.time_range(lagged, "hour", start=span.lag_cutoff)
@@ -317,10 +343,13 @@ def daily_training_sets(
     seed: int = 12345,
 ) -> DataFrame:
     """Daily samples of every split; of the training samples only a random share."""
-    rows = samples.daily_samples(samples.split_days(packed, splits), seq_days, {"y": 0})
-    train = rows.filter(F.col("split") == "train")
-    rest = rows.filter(F.col("split") != "train")
+    parts = samples.split_days(packed, splits)
+    rows = samples.daily_samples(parts, seq_days, {"y": 0})
+    # the share is drawn from the keys alone; the samples are cut once
+    ids = samples.sample_keys(parts.filter(F.col("split") == "train"), seq_days)
     picked = numbering.fraction_exact(
-        train.select("station_id", "sample_idx"), ["station_id", "sample_idx"], share, seed
-    )
-    return train.join(picked, ["station_id", "sample_idx"], "left_semi").unionByName(rest)
+        ids.select("station_id", "sample_idx"), ["station_id", "sample_idx"], share, seed
+    ).withColumn("split", F.lit("train"))
+    others = F.col("split") != "train"
+    marked = rows.join(picked.withColumn("_picked", F.lit(True)), ["station_id", "sample_idx", "split"], "left")
+    return marked.filter(others | F.col("_picked")).drop("_picked").select(rows.columns)

@@ -15,8 +15,8 @@ def build_session(
     """A session with the settings every job here wants; ``conf`` wins over them.
 
     AQE picks partition counts, splits skewed join partitions and turns a join into a
-    broadcast only when the measured side is below ``autoBroadcastJoinThreshold``. No
-    operator in this package forces a broadcast.
+    broadcast only when the measured side is below ``autoBroadcastJoinThreshold``. Operators
+    hint at a broadcast only for frames whose size does not depend on the data.
     """
     settings = {
         "spark.sql.session.timeZone": "UTC",

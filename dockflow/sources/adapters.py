@@ -18,8 +18,6 @@ PANEL_END = "2024-01-30 23:00:00"
 DAYS = 30
 STATIONS = 20
 CITIES = 5
-# weather is left out on these days, so that joins meet their defaults
-DAYS_WITHOUT_WEATHER = ("20240110", "20240121")
 TARGETS = ("label_10", "label_16", "label_21")
 
 
@@ -47,14 +45,15 @@ def _with_next_stop(events: DataFrame) -> DataFrame:
     """Every event's ``stop`` and the ``next_stop`` of the same user, by ``(ts, event_id)``.
 
     A user may own a large share of all events, so the order is not taken over whole users:
-    inside (user, hour) buckets by ``lead``, and for the last event of a bucket from the first
-    event of the user's next bucket, which is found on one row per (user, hour). Both read one
-    shuffle of the events (the same three columns), and the join back needs no other.
+    inside (user, minute) buckets by ``lead``, and for the last event of a bucket from the first
+    event of the user's next bucket, which is found on one row per (user, minute). Both read one
+    shuffle of the events (the same columns), and the join back needs no other. An event
+    without a user has no next stop.
     """
-    rider = F.coalesce("user_id", F.lit(-1)).alias("rider")
-    stop = F.struct("ts", "event_id", "start_station_id").alias("stop")
+    rider = F.coalesce("user_id", -1 - F.col("event_id")).alias("rider")
+    stop = F.struct("ts", "event_id", "start_station_id", "ride_type").alias("stop")
     inside = W.partitionBy("rider", "bucket").orderBy("stop")
-    stops = events.select("ride_type", rider, K.floor_hour("ts").alias("bucket"), stop).select(
+    stops = events.select(rider, K.floor_minute("ts").alias("bucket"), stop).select(
         "*",
         F.lead("stop").over(inside).alias("following"),
         F.lag("stop").over(inside).isNull().alias("is_head"),
@@ -65,7 +64,7 @@ def _with_next_stop(events: DataFrame) -> DataFrame:
         F.lead("stop").over(W.partitionBy("rider").orderBy("bucket")).alias("next_head"),
     )
     return stops.join(heads, ["rider", "bucket"], "left").select(
-        "ride_type", "stop", F.coalesce("following", "next_head").alias("next_stop")
+        "stop", F.coalesce("following", "next_head").alias("next_stop")
     )
 
 
@@ -95,7 +94,7 @@ def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Start at the event's station and time, end at those of the user's next event."""
     return _with_next_stop(departures(spark, sf_dir)).select(
         F.col("stop.event_id").alias("ride_id"),
-        "ride_type",
+        "stop.ride_type",
         F.col("stop.ts").alias("started_at"),
         F.col("next_stop.ts").alias("ended_at"),
         "stop.start_station_id",
@@ -161,7 +160,6 @@ def weather_workday(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.count_if(F.col("ride_type") == "signup") % 4).cast("int").alias("cycle_weather_level"),
             F.round(F.avg("value"), 1).alias("mean_value"),
         )
-        .filter(~K.day_key("day").isin(*DAYS_WITHOUT_WEATHER))
     )
     workday = (
         F.when(F.weekday(day) == 6, 0).when(F.weekday(day) == 5, 2).otherwise(1).cast("int")

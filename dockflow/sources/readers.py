@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import csv
+import re
+from collections.abc import Mapping
+from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dockflow.functions.keys import lenient_timestamp
+from dockflow.functions.keys import day_text, lenient_timestamp
 from dockflow.sources.schemas import CITY_MAPPING
 
 CORRUPT = "_corrupt_record"
@@ -16,9 +20,12 @@ SOURCE_FILE = "__source_file"
 
 
 def _csv(spark: SparkSession, paths, schema: T.StructType, skip_unreadable: bool) -> DataFrame:
+    # a file whose header is not the schema's fails by name instead of being read by position
     reader = (
         spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
         .option("header", True)
+        .option("enforceSchema", False)
+        .option("columnPruning", False)  # else a line with too many fields looks whole
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("mode", "PERMISSIVE" if skip_unreadable else "FAILFAST")
         .option("ignoreCorruptFiles", skip_unreadable)
@@ -26,40 +33,59 @@ def _csv(spark: SparkSession, paths, schema: T.StructType, skip_unreadable: bool
     return reader.csv(paths).withColumn(SOURCE_FILE, F.col("_metadata.file_name"))
 
 
+def csv_headers(spark: SparkSession, paths: str | list[str]) -> dict[str, list[str]]:
+    """Header of every readable file, by path, from one pass; files without a first line are absent."""
+    lines = spark.read.option("ignoreCorruptFiles", True).text(paths).select(
+        F.col("_metadata.file_path").alias("file"), "value",
+        F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"),
+    )
+    first = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("line"))
+    return {r.file: next(csv.reader([r.line])) for r in first.collect() if r.line}
+
+
+def unreadable_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Files of ``paths`` that no line could be read from: rows ``(file)``.
+
+    Files that break off later give their lines up to there; :func:`unreadable_counts` counts those.
+    """
+    listed = {_plain(f) for f in spark.read.text(paths).inputFiles()}
+    read = {_plain(f) for f in csv_headers(spark, paths)}
+    return spark.createDataFrame([(f,) for f in sorted(listed - read)], "file string")
+
+
+def _plain(uri: str) -> str:
+    return re.sub("^file:/+", "/", unquote(uri))
+
+
 def read_csv_files(
     spark: SparkSession,
     paths: str | list[str],
     columns: list[str],
     skip_unreadable: bool = True,
-    same_header: bool = True,
+    same_header: bool = False,
 ) -> DataFrame:
     """Stack CSV files as text columns plus the file name and the unparsed record, if any.
 
-    With ``same_header`` one scan covers all files and the first file's header holds for all
-    of them. Otherwise ``paths`` is a list of files: those with equal headers share one scan
-    and the scans are stacked by column name, absent columns null.
+    Columns are matched by name: files with equal headers share one scan, the scans are stacked
+    and absent columns are null. Headers are read in one pass over the files. ``same_header``
+    saves that pass where all files are known to have one header; a file with another one
+    then fails the read. Files that cannot be read are skipped (see :func:`unreadable_files`)
+    unless ``skip_unreadable`` is off.
     """
     if same_header:
-        headers = {tuple(_header(spark, paths if isinstance(paths, str) else paths[0])): paths}
+        headers = {tuple(spark.read.option("header", True).csv(paths).columns): paths}
     else:
         headers: dict[tuple[str, ...], list[str]] = {}
-        for path in [paths] if isinstance(paths, str) else paths:
-            headers.setdefault(tuple(_header(spark, path)), []).append(path)
-    parts = []
+        for path, header in csv_headers(spark, paths).items():
+            headers.setdefault(tuple(header), []).append(path)
+    kinds = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, CORRUPT, SOURCE_FILE)])
+    stacked = spark.createDataFrame([], kinds)
     for header, files in headers.items():
         schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
         part = _csv(spark, files, schema, skip_unreadable)
         kept = [c for c in columns if c in header]
-        parts.append(part.select(*kept, CORRUPT, SOURCE_FILE))
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    missing = [c for c in columns if c not in stacked.columns]
-    for name in missing:
-        stacked = stacked.withColumn(name, F.lit(None).cast("string"))
-    return stacked.select(*columns, CORRUPT, SOURCE_FILE)
-
-
-def _header(spark: SparkSession, path: str) -> list[str]:
-    return spark.read.option("header", True).csv(path).columns
+        stacked = stacked.unionByName(part.select(*kept, CORRUPT, SOURCE_FILE), allowMissingColumns=True)
+    return stacked
 
 
 def type_rides(raw: DataFrame) -> DataFrame:
@@ -74,49 +100,57 @@ def type_rides(raw: DataFrame) -> DataFrame:
 
 
 def unreadable_counts(raw: DataFrame) -> DataFrame:
-    """Unparsed records per file (read with ``read_csv_files``)."""
+    """Per file the records, those unparsed, and values of the first column (read with ``read_csv_files``)."""
+    first = next(c for c in raw.columns if c not in (CORRUPT, SOURCE_FILE))
+    # the parser needs a data column besides the corrupt record, hence the third count
     return raw.groupBy(SOURCE_FILE).agg(
-        F.count("*").alias("records"), F.count(CORRUPT).alias("unreadable")
+        F.count("*").alias("records"), F.count(CORRUPT).alias("unreadable"), F.count(first).alias(f"{first}_values")
     )
 
 
+#: Formats whose files take a schema from the reader; others (catalog formats) bring their own.
+FILE_FORMATS = ("parquet", "orc", "json", "csv")
+
+
 def read_days(
     spark: SparkSession,
     source: str,
-    first: str,
-    last: str,
+    first: date | str,
+    last: date | str,
     fmt: str | None = None,
     day_column: str = "pt",
     schema: T.StructType | None = None,
+    names: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Days ``first``..``last`` (inclusive string keys) of a catalog table or a path.
+    """Days ``first``..``last`` (inclusive, dates or day keys) of a catalog table or a path.
 
     ``fmt`` names the format of a path, e.g. ``parquet`` or ``iceberg``; without it
     ``source`` is a table. The filter compares the raw string partition column with string
-    literals, so it prunes partitions.
+    literals, so it prunes partitions. ``names`` renames columns of the source. With ``schema`` the result has
+    its columns and types; a column that the source lacks raises.
     """
+    names = dict(names or {})
     if fmt is None:
         table = spark.table(source)
-    else:
+    elif fmt in FILE_FORMATS:
         reader = spark.read.format(fmt)
-        if schema is not None:
-            reader = reader.schema(schema)
-        elif fmt in ("parquet", "orc", "json", "csv"):
-            # keep yyyyMMdd partition values as text
-            reader = reader.schema(
-                T.StructType(
-                    [
-                        T.StructField(f.name, T.StringType() if f.name == day_column else f.dataType)
-                        for f in reader.load(source).schema.fields
-                    ]
-                )
-            )
-        table = reader.load(source)
-    return between_days(table, first, last, day_column)
-
-
-def between_days(df: DataFrame, first: str, last: str, day_column: str = "pt") -> DataFrame:
-    return df.filter(F.col(day_column).between(first, last))
+        found = reader.load(source).schema
+        # keep yyyyMMdd partition values as text
+        kept = [T.StructField(f.name, T.StringType() if f.name == day_column else f.dataType) for f in found.fields]
+        table = reader.schema(T.StructType(kept)).load(source)
+    else:
+        table = spark.read.format(fmt).load(source)
+    table = between_days(table, first, last, day_column).withColumnsRenamed(names)
+    if schema is None:
+        return table
+    absent = [f.name for f in schema.fields if f.name not in table.columns]
+    if absent:
+        raise ValueError(f"{source} has no column {', '.join(absent)}; it has {', '.join(table.columns)}")
+    return table.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def between_days(df: DataFrame, first: date | str, last: date | str, day_column: str = "pt") -> DataFrame:
+    return df.filter(F.col(day_column).between(day_text(first), day_text(last)))
 
 
 def on_the_hour(snapshots: DataFrame, minute: str = "00") -> DataFrame:

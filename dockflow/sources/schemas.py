@@ -1,11 +1,10 @@
-"""Explicit schemas of every source and sink."""
+"""Explicit schemas of every source and sink (fixed values: column names of the tables)."""
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
 _S, _I, _L, _D = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
-_TS = T.TimestampNTZType()
 
 
 def _schema(**fields: T.DataType) -> T.StructType:
@@ -14,15 +13,9 @@ def _schema(**fields: T.DataType) -> T.StructType:
 
 # ---- sources ---------------------------------------------------------------------------
 
-RIDES = _schema(
-    ride_id=_S,
-    ride_type=_S,
-    started_at=_TS,
-    ended_at=_TS,
-    start_station_id=_S,
-    end_station_id=_S,
-)
 ORDERS = _schema(order_id=_S, site_guid=_S, capacity=_L, pt=_S)
+#: Columns of the order table that have other names here.
+ORDER_NAMES = {"bike_start_park_guid": "site_guid", "start_parking_capacity": "capacity"}
 HOURLY_LABELS = _schema(
     site_guid=_S, city_guid=_S, label_10=_D, label_16=_D, label_21=_D, hour=_I, pt=_S
 )

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from datetime import date
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dockflow.functions.keys import day_text
+
 
 def create_day_table(
     spark: SparkSession,
@@ -28,34 +31,55 @@ def create_day_table(
     )
 
 
-def overwrite_day(df: DataFrame, day: str, path: str, day_column: str = "pt") -> None:
+def _sorted(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows in order within each file, so that row groups cover narrow ranges."""
+    return df.sortWithinPartitions(*order) if order else df
+
+
+def overwrite_day(
+    df: DataFrame, day: date | str, path: str, day_column: str = "pt", order: Sequence[str] = ()
+) -> None:
     """Replace one day partition below ``path``; the other days stay.
 
     Safe to repeat: also an empty result replaces what an earlier attempt left.
     """
-    df.drop(day_column).write.mode("overwrite").parquet(f"{path}/{day_column}={day}")
+    rows = _sorted(df.drop(day_column), order)
+    rows.write.mode("overwrite").parquet(f"{path}/{day_column}={day_text(day)}")
 
 
-def overwrite_table_day(df: DataFrame, day: str, table: str, day_column: str = "pt") -> None:
+def overwrite_table_day(
+    df: DataFrame, day: date | str, table: str, day_column: str = "pt", order: Sequence[str] = ()
+) -> None:
     """Replace one day partition of a declared table, matching columns by name."""
     spark = df.sparkSession
     columns = [c for c in spark.table(table).columns if c != day_column]
     spark.sql(
         f"INSERT OVERWRITE TABLE {table} PARTITION (`{day_column}` = {{day}}) SELECT * FROM {{rows}}",
-        day=day,
-        rows=df.select(*columns),
+        day=day_text(day),
+        rows=_sorted(df.select(*columns), order),
     )
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
-    """CSV with a header; nested columns become JSON cells."""
+def checked(df: DataFrame, schema: T.StructType, day_column: str = "pt") -> DataFrame:
+    """``df`` in the columns and types of a sink; a column that it lacks raises."""
+    fields = [f for f in schema.fields if f.name != day_column]
+    absent = [f.name for f in fields if f.name not in df.columns]
+    if absent:
+        raise ValueError(f"columns missing for the sink: {', '.join(absent)}")
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+
+
+def write_csv(
+    df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite", order: Sequence[str] = ()
+) -> None:
+    """CSV with a header, each file in ``order``; nested columns become JSON cells."""
     cells = [
         F.to_json(f.name).alias(f.name)
         if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))
         else F.col(f.name)
         for f in df.schema.fields
     ]
-    df.select(cells).write.mode(mode).option("sep", sep).option("header", True).csv(path)
+    _sorted(df, order).select(cells).write.mode(mode).option("sep", sep).option("header", True).csv(path)
 
 
 def write_batches(df: DataFrame, path: str, batch_column: str = "batch_id") -> None:

@@ -1,6 +1,6 @@
 """Hourly flow, dense panel, forward sums, keys."""
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
@@ -101,22 +101,26 @@ def test_key_arithmetic(frame):
         K.weekday_name(K.day_of_key("pt")),
     ).first()
     assert tuple(row) == ("2024030107", "20240229", "2024022807", "2024-03-01", 4, 6, "Friday")
-    assert K.shift_key("2024030100", {"hours": -1}, "hour", "hour") == "2024022923"
+    assert K.day_text(K.days_after(date(2024, 3, 1), -1)) == "20240229"
 
 
 def test_run_dates():
+    texts = lambda *days: tuple(map(K.day_text, days))
     predict = K.RunDates.predict("20250917")
-    assert (predict.end, predict.start, predict.warm_up_start) == ("20250915", "20250902", "20250822")
-    assert (predict.tomorrow, predict.yesterday) == ("20250918", "20250916")
-    train = K.RunDates.train("20251020")
-    assert (train.start, train.end, train.label_start, train.label_end) == (
+    assert texts(predict.end, predict.start, predict.warm_up_start) == ("20250915", "20250902", "20250822")
+    assert texts(predict.tomorrow, predict.yesterday) == ("20250918", "20250916")
+    assert texts(*predict.weather_days) == ("20250904", "20250917")
+    train = K.RunDates.train(date(2025, 10, 20))
+    assert texts(train.start, train.end, train.label_start, train.label_end) == (
         "20250909",
         "20251020",
         "20250923",
         "20251018",
     )
-    assert len(range(int(K.parse_key(train.label_end, "day").toordinal())
-                     - int(K.parse_key(train.label_start, "day").toordinal()) + 1)) == 26
+    assert (train.label_end - train.label_start).days + 1 == 26
+    assert texts(*train.fence_days, *train.label_weather_days) == (
+        "20251010", "20251020", "20250924", "20251019",
+    )
 
 
 def test_lenient_timestamp(frame):

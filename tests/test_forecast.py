@@ -49,13 +49,22 @@ def test_linear_fit_is_least_squares(frame):
     np.testing.assert_allclose(offsets, solution[-1], atol=1e-6)
 
 
-def test_robust_fit_resists_outliers(frame):
-    df, x, y = _linear_data(frame, h=1)
-    spoiled = df.withColumn("y", F.when(F.col("site_guid") == "0", F.array(F.lit(1e4))).otherwise(F.col("y")))
-    clean, _ = forecast.fit_linear(df, "x", "y", 1)
-    robust, _ = forecast.fit_linear(spoiled, "x", "y", 1, loss="huber")
-    squared, _ = forecast.fit_linear(spoiled, "x", "y", 1)
-    assert np.abs(robust - clean).max() < 0.5 < np.abs(squared - clean).max()
+def test_ridge_spares_the_constant(frame):
+    df, x, y = _linear_data(frame)
+    weights, offsets = forecast.fit_linear(df, "x", "y", 3, ridge=0.5)
+    centred = x - x.mean(0)
+    gram = centred.T @ centred + 0.5 * len(x) * np.eye(x.shape[1])
+    expected = np.linalg.solve(gram, centred.T @ (y - y.mean(0)))
+    np.testing.assert_allclose(weights, expected, atol=1e-6)
+    np.testing.assert_allclose(offsets, y.mean(0) - x.mean(0) @ expected, atol=1e-6)
+
+
+def test_a_week_of_inputs_against_least_squares(frame):
+    df, x, y = _linear_data(frame, n=400, p=168, h=24)
+    weights, offsets = forecast.fit_linear(df.repartition(5), "x", "y", 24)
+    solution = np.linalg.lstsq(np.c_[x, np.ones(len(x))], y, rcond=None)[0]
+    np.testing.assert_allclose(weights, solution[:-1], atol=1e-6)
+    np.testing.assert_allclose(offsets, solution[-1], atol=1e-6)
 
 
 def test_linear_scorer_through_scoring(frame):

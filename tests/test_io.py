@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dockflow.operators import features
-from dockflow.sources import readers, sinks
+from dockflow.sources import readers, schemas, sinks
 
 
 def _rows(df):
@@ -42,7 +42,7 @@ def test_csv_files_with_other_columns_are_stacked_by_name(spark, tmp_path):
     _write(tmp_path / "a.csv", "started_at,start_station_id\n2024-01-01 00:00:00,a\n")
     _write(tmp_path / "b.csv", "start_station_id,end_station_id,started_at\nb,c,2024-01-02 00:00:00\n")
     raw = readers.read_csv_files(
-        spark, [str(tmp_path / n) for n in ("a.csv", "b.csv")], COLUMNS, same_header=False
+        spark, [str(tmp_path / n) for n in ("a.csv", "b.csv")], COLUMNS
     )
     out = {r.start_station_id: r for r in readers.type_rides(raw).collect()}
     assert out["a"].end_station_id is None and out["b"].end_station_id == "c"
@@ -56,12 +56,53 @@ def test_unreadable_files_are_skipped(spark, tmp_path):
     (tmp_path / "zbroken.csv.gz").write_bytes(broken)
     raw = readers.read_csv_files(spark, [str(tmp_path / "good.csv.gz"), str(tmp_path / "zbroken.csv.gz")], ["a", "b"])
     assert _rows(raw.filter(F.col("__source_file") == "good.csv.gz").select("a", "b")) == [("1", "2"), ("3", "4")]
+    lost = readers.unreadable_files(spark, f"{tmp_path}/*.csv.gz")
+    assert [r.file.rpartition("/")[2] for r in lost.collect()] == ["zbroken.csv.gz"]
+
+
+def test_columns_in_another_order_keep_their_values(spark, tmp_path):
+    _write(tmp_path / "a.csv", "started_at,start_station_id\n2024-01-01 00:00:00,a\n")
+    _write(tmp_path / "b.csv", "start_station_id,started_at\nb,2024-01-02 00:00:00\n")
+    out = readers.type_rides(readers.read_csv_files(spark, f"{tmp_path}/*.csv", COLUMNS))
+    assert _rows(out.select("start_station_id", F.col("started_at").cast("date").cast("string"))) == [
+        ("a", "2024-01-01"), ("b", "2024-01-02"),
+    ]
+    with pytest.raises(Exception):
+        readers.read_csv_files(spark, f"{tmp_path}/*.csv", COLUMNS, skip_unreadable=False, same_header=True).collect()
+
+
+def test_no_readable_file_gives_no_rows(spark, tmp_path):
+    _write(tmp_path / "empty.csv", "")
+    assert readers.read_csv_files(spark, f"{tmp_path}/*.csv", ["a"]).count() == 0
+
+
+def test_absent_columns_raise_and_names_are_mapped(spark, frame, tmp_path):
+    path = str(tmp_path / "orders")
+    rows = frame([("o", "s", 3)], "order_id string, bike_start_park_guid string, start_parking_capacity long")
+    sinks.overwrite_day(rows, "20240101", path)
+    with pytest.raises(ValueError, match="site_guid"):
+        readers.read_days(spark, path, "20240101", "20240101", "parquet", schema=schemas.ORDERS)
+    df = readers.read_days(
+        spark, path, "20240101", "20240101", "parquet", schema=schemas.ORDERS, names=schemas.ORDER_NAMES
+    )
+    assert _rows(df) == [("o", "s", 3, "20240101")]
+    with pytest.raises(ValueError, match="features"):
+        sinks.checked(rows, schemas.PREDICT_FEATURES)
+
+
+def test_files_are_sorted(spark, tmp_path):
+    df = spark.range(1000).select(F.pmod(F.col("id") * 7919, F.lit(1000)).alias("k")).repartition(3)
+    sinks.overwrite_day(df, "20240101", str(tmp_path / "t"), order=["k"])
+    for name in os.listdir(tmp_path / "t" / "pt=20240101"):
+        if name.endswith(".parquet"):
+            keys = [r.k for r in spark.read.parquet(str(tmp_path / "t" / "pt=20240101" / name)).collect()]
+            assert keys == sorted(keys)
 
 
 def test_corrupt_lines_are_counted(spark, tmp_path):
     _write(tmp_path / "x.csv", "a,b\n1,2\n1,2,3,4\n")
     raw = readers.read_csv_files(spark, str(tmp_path / "x.csv"), ["a", "b"])
-    assert _rows(readers.unreadable_counts(raw.cache())) == [("x.csv", 2, 1)]
+    assert _rows(readers.unreadable_counts(raw)) == [("x.csv", 2, 1, 2)]
     with pytest.raises(Exception):
         readers.read_csv_files(spark, str(tmp_path / "x.csv"), ["a", "b"], skip_unreadable=False).collect()
 

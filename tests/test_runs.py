@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from dockflow.operators import features, forecast
 from dockflow.plans import queries as q
 from dockflow.plans import runs
-from dockflow.sources import testdata as td
+from dockflow.sources import adapters as td
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -16,7 +16,12 @@ SF_DIR = "/root/testdata/sf0.01"
 def places(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("warehouse_days")
     frames = {
-        "orders": (td.orders(spark, SF_DIR), "pt"),
+        "orders": (
+            td.orders(spark, SF_DIR).withColumnsRenamed(
+                {"site_guid": "bike_start_park_guid", "capacity": "start_parking_capacity"}
+            ),
+            "pt",
+        ),
         "labels": (td.hourly_labels(spark, SF_DIR), "pt"),
         "snapshots": (td.vehicle_snapshots(spark, SF_DIR), "pt"),
         "weather": (td.weather_workday(spark, SF_DIR), None),
@@ -65,6 +70,23 @@ def test_daily_run(spark, places):
     assert bad["forecasts"].count() == 0
 
 
+def test_daily_run_on_tables(spark, places):
+    spark.sql("CREATE DATABASE IF NOT EXISTS lake")
+    spark.sql("CREATE DATABASE IF NOT EXISTS results")
+    for name, path in places.sources.items():
+        df = spark.read.parquet(path)
+        days = [c for c in df.columns if c == "pt"]
+        df = df.withColumns({c: F.col(c).cast("string") for c in days})
+        (df.write.partitionBy(*days) if days else df.write).saveAsTable(f"lake.{name}")
+    tables = runs.Places({n: f"lake.{n}" for n in places.sources}, "results", None)
+    written = runs.write_predict_features(spark, tables, "20240201", steps=q.PREDICT_STEPS, limits=LIMITS)
+    expected = q.QUERIES["packed_sequences"](spark, SF_DIR)
+    assert _cells(written.select("site_guid", "features")) == _cells(expected)
+    out = runs.score_and_publish(spark, tables, "20240201", forecast.same_hour_mean, q.PREDICT_STEPS - 16)
+    assert {r.reject_reason for r in out["rejected_features"].collect()} == {"bad_length"}
+    assert spark.table("results.predict_features").columns == ["site_guid", "features", "pt"]
+
+
 def test_training_run(spark, places):
     written = runs.write_training_features(
         spark, places, "20240130", "20240131", 4, q.TRAIN_STEPS, q.DAILY_STEPS, LIMITS

@@ -5,7 +5,7 @@ import json
 import numpy as np
 from pyspark.sql import functions as F
 
-from dockflow.operators import samples, sequences
+from dockflow.operators import numbering, samples, sequences
 
 
 def _rows(df):
@@ -180,9 +180,27 @@ def test_ratio_split_sizes_round_half_to_even(spark):
 
 
 def test_sample_rows_follow_site_and_index(spark, frame):
-    ids = frame([(s, i) for s in "ba" for i in range(3)], "site string, sample_idx int")
-    numbered = frame([("a", 1), ("b", 2)], "site string, row_id long")
-    out = samples.sample_rows(ids, numbered, 3, "site")
-    assert _rows(out.select("site", "sample_idx", "row_id")) == [
-        (s, i, 3 * k + i + 1) for k, s in enumerate("ab") for i in range(3)
-    ]
+    sizes = {"b": 2, "a": 3, "d": 0, "c": 5}
+    ids = frame([(s, i) for s, n in sizes.items() for i in range(n)], "site string, sample_idx int")
+    out = samples.sample_rows(ids, "site")
+    expected = [(s, i) for s in sorted(sizes) for i in range(sizes[s])]
+    assert _rows(out.select("site", "sample_idx", "row_id")) == [(s, i, n) for n, (s, i) in enumerate(expected, 1)]
+
+
+def test_row_numbers_run_no_job_before_they_are_read(spark):
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    keys = spark.range(1000).select(F.format_string("k%05d", F.pmod(F.col("id") * 389, F.lit(1000))).alias("k"))
+    numbered = numbering.row_numbers(keys, ["k"])
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+    assert _rows(numbered) == [(f"k{i:05d}", i + 1) for i in range(1000)]
+    assert _rows(numbering.row_numbers(keys.limit(0), ["k"])) == []
+
+
+def test_sample_slices_do_not_carry_the_sequence(spark, frame):
+    df = frame([("a", [[float(i)] for i in range(24 * 12)])], "k string, features array<array<double>>")
+    plan = samples.daily_samples(df, 7, {"y": 0})._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate inline" in plan and "explode" not in plan
+    generate = next(line for line in plan.splitlines() if "Generate inline" in line)
+    assert "[1]" in generate  # the packed array is not among the columns that the generator carries
+
+

@@ -4,7 +4,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dockflow.operators import flow
-from dockflow.sources import testdata as td
+from dockflow.sources import adapters as td
 
 
 def _events(spark, path, n=20000):
