@@ -34,6 +34,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
+    """Like :func:`written`, in ``buckets`` hash buckets of ``column``: grouping by it needs no shuffle.
+
+    The files lie in the scratch folder; the catalog entry, which bucketing needs, goes at once.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    entry = f"{name}_{uuid.uuid4().hex}"
+    df.write.format("parquet").option("path", path).bucketBy(buckets, column).saveAsTable(entry)
+    out = spark.table(entry)
+    spark.sql(f"DROP TABLE {entry}")
+    return out
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of an edge list ``(u, v)`` of longs: rows ``(node, component)``.
 

@@ -1,6 +1,6 @@
 """Byte-level BPE: every distinct word of the corpus is encoded once.
 
-Texts are read in blocks of some 24 million characters. A block is written as one dictionary of
+Texts are read in blocks of some 32 million characters. A block is written as one dictionary of
 its distinct pre-tokens and, per position, the dictionary number of the pre-token there. Only the
 dictionaries are shuffled by word; each word is encoded where its entries meet, and the ids go back
 to the blocks, where they are put in place by position. Both shuffles carry a word once per block,
@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dockflow.llm.base import written
+from dockflow.llm.base import bucketed
 
-BLOCK_CHARS = 24_000_000
+BLOCK_CHARS = 32_000_000
 _CACHE: dict = {}
 
 
@@ -96,18 +96,15 @@ def _blocks(key: list[str], text: str, pattern: str, chars: int, buckets: int, s
                     "codes": pa.array([packed] + [None] * (n - 1), pa.binary()),
                 })
                 place += n
-            by_bucket = [[] for _ in range(buckets)]
-            for word, i in words.items():
-                raw = word.encode()
-                by_bucket[zlib.crc32(raw) % buckets].append((raw, i))
-            for bucket, entries in enumerate(by_bucket):
-                if entries:
-                    entries.sort()
-                    own = number[np.array([i for _, i in entries])]
-                    yield rows(1, {
-                        "bucket": pa.array([bucket]), "codes": pa.array([_packed(own)], pa.binary()),
-                        "words": pa.array([zlib.compress(b"\xff".join(w for w, _ in entries), 3)], pa.binary()),
-                    })
+            raws = [word.encode() for word in words]
+            of = np.fromiter((zlib.crc32(raw) % buckets for raw in raws), np.int32, len(raws))
+            order = np.argsort(of, kind="stable")
+            for own in np.split(order, np.flatnonzero(np.diff(of[order])) + 1) if len(raws) else []:
+                entries = sorted(own.tolist(), key=raws.__getitem__)
+                yield rows(1, {
+                    "bucket": pa.array(of[own[:1]]), "codes": pa.array([_packed(number[entries])], pa.binary()),
+                    "words": pa.array([zlib.compress(b"\xff".join([raws[i] for i in entries]), 3)], pa.binary()),
+                })
 
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
@@ -150,9 +147,11 @@ def encode(
         T.StructField("bucket", T.IntegerType()), T.StructField("words", T.BinaryType()),
     ])
     # a bucket of the dictionaries is one group of a task, so their number follows the shuffle's
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = written(
-        plain.mapInArrow(_blocks(inner, "_t", pattern, block_chars, buckets, schema), schema), "blocks"
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 4 * partitions
+    # the codes, which are most of what is written, stay where they are: only ids come to them
+    blocks = bucketed(
+        plain.mapInArrow(_blocks(inner, "_t", pattern, block_chars, buckets, schema), schema), "blocks", "block", partitions
     )
     table = spark.sparkContext.broadcast(ranks)  # as many entries as the vocabulary, whatever the data
 
