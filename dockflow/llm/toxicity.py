@@ -243,4 +243,5 @@ def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
     """
     labels = labels.where(F.col(key).isNotNull() & ~held_out(key)).groupBy(key).agg(F.max("toxic").alias("toxic"))
     rows = documents.where(F.col(key).isNotNull() & ~held_out(key)).select(key, text)
-    return fit(rows.join(labels, key), text, "toxic", key, how)
+    # a sort-merge join at every size: small labels are not broadcast, large ones could not be
+    return fit(rows.join(labels.hint("merge"), key), text, "toxic", key, how)
