@@ -34,6 +34,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def text_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Let Python get whole texts in small batches; Spark's usual 10,000 rows may be gigabytes of them."""
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(limit)) <= rows:
+        spark.conf.set(limit, str(rows))
+
+
+def number_batches(spark: SparkSession, rows: int = 10_000) -> None:
+    """Back to large batches, for steps that hand numbers to Python."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def bucketed(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
     """Like :func:`written`, in ``buckets`` hash buckets of ``column``: grouping by it needs no shuffle.
 

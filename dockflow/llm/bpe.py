@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dockflow.llm.base import bucketed
+from dockflow.llm.base import bucketed, text_batches
 
 BLOCK_CHARS = 32_000_000
 _CACHE: dict = {}
@@ -137,6 +137,7 @@ def encode(
     repeated rows pass through; columns called like the operator's own are kept under their names.
     """
     spark = df.sparkSession
+    text_batches(spark)
     names = [f for f in df.schema.fields if f.name != text]
     inner = [f"_c{i}" for i in range(len(names))]
     plain = df.select(*[F.col(f"`{f.name}`").alias(n) for f, n in zip(names, inner)], F.col(f"`{text}`").alias("_t"))
@@ -215,6 +216,7 @@ def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", name: str =
     broadcast. A null array gives null; an id without a token raises.
     """
     spark = df.sparkSession
+    text_batches(spark)
     size = max(ranks.values(), default=-1) + 1
     by_id: list[bytes | None] = [None] * size
     for token, i in ranks.items():

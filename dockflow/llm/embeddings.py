@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.llm.base import components, written
+from dockflow.llm.base import components, number_batches, written
 
 
 @dataclass(frozen=True)
@@ -155,6 +155,7 @@ def near_duplicates(
     blocks, and every two blocks are compared in a group of their own.
     """
     spark = df.sparkSession
+    number_batches(spark, 2000)
     rows = df.select(F.col(key).alias("_k"), F.col(vector).cast("array<double>").alias("_v"), _valid(vector).alias("_ok"))
     # a plain sum makes -0.0 and 0.0 equal, as they are for the cosine
     rows = rows.withColumn("_v", F.when(F.col("_ok"), F.transform("_v", lambda x: x + F.lit(0.0))))

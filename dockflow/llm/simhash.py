@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.llm.base import LOWER, UPPER, components, written
+from dockflow.llm.base import LOWER, UPPER, components, number_batches, text_batches, written
 
 #: Generator polynomial of the binary Golay code of length 23 and dimension 12 (fixed value).
 GOLAY = 0b110001110101
@@ -59,6 +59,7 @@ def fingerprint(text: str | None, width: int = 3) -> int:
 
 def with_fingerprints(df: DataFrame, text: str = "text", width: int = 3, name: str = "fp") -> DataFrame:
     """``df`` with the fingerprint of ``text`` as a long column."""
+    text_batches(df.sparkSession)
 
     @F.pandas_udf("long")
     def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -214,7 +215,10 @@ def _and_end(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame | None]:
 
 def _named(classes: DataFrame, bits: int) -> DataFrame:
     """``(fp, root, component_id)`` of classes ``(fp, least)``: root fingerprint and smallest key."""
+    spark = classes.sparkSession
+    number_batches(spark)
     nodes = written(components(fuzzy_links(classes, bits)), "nodes")
+    text_batches(spark)
     rooted = classes.join(nodes, classes.fp == nodes.node, "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("root")
     )

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.llm.base import written
+from dockflow.llm.base import text_batches, written
 
 #: Words in the models: runs of letters, marks, digits and apostrophes, in lower case.
 WORD = r"[\p{L}\p{M}\p{N}']+"
@@ -152,6 +152,7 @@ def _measured(df: DataFrame, text: str, model: Model, how: Settings, name: str)
 
     The weights are broadcast: there are no more of them than ``slots``.
     """
+    text_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -163,7 +164,7 @@ def _measured(df: DataFrame, text: str, model: Model, how: Settings, name: str)
             out = []
             for text in batch:
                 out.append(ratio(text, find, known, table, how))
-                if len(known) > 500_000:  # a cache of weights, so emptying it changes nothing
+                if len(known) > 200_000:  # a cache of weights, so emptying it changes nothing
                     known.clear()
             x = np.array(out, np.float64)
             yield pd.Series(x if own.curve is None else on_curve(x, own.curve), dtype="float64")

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockflow.llm.base import written
+from dockflow.llm.base import text_batches, written
 
 #: Bytes of an HTTP message per record, and of a payload per chunk.
 SEGMENT, CHUNK = 16_384, 4_096
@@ -110,6 +110,7 @@ def write_archives(
     in several such rows they are all responses, and rows with a null key revisit the smallest
     one there is. Files hold at most ``per_file`` records, so that a reader's memory is bounded.
     """
+    text_batches(pages.sparkSession)
     payload = F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8")
     rows = pages.select(
         F.col(key).alias("_k"), F.col(url).cast("string").alias("_u"), payload.alias("payload"),
