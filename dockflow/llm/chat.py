@@ -53,19 +53,26 @@ LAYOUTS = (
 
 
 def field_paths(record: Column) -> Column:
-    """Sorted distinct paths of a JSON object: ``a``, ``a.b`` in objects, ``a[].b`` in lists of objects."""
-    keys = F.coalesce(F.json_object_keys(record), F.array().cast("array<string>"))
+    """Sorted distinct paths of a JSON object: ``a``, ``a.b`` in objects, ``a[]`` and ``a[].b`` in lists.
 
-    def below(k: Column) -> Column:
-        value = F.call_function("get_json_object", record, F.concat(F.lit("$['"), k, F.lit("']")))
-        items = F.from_json(F.when(value.startswith("["), value), "array<string>")
-        inner = F.array_distinct(F.flatten(F.transform(items, lambda x: F.coalesce(F.json_object_keys(x), F.array(F.lit(""))))))
-        listed = F.transform(inner, lambda x: F.when(x == "", F.concat(k, F.lit("[]"))).otherwise(F.concat(k, F.lit("[]."), x)))
-        nested = F.transform(F.json_object_keys(F.when(value.startswith("{"), value)), lambda x: F.concat(k, F.lit("."), x))
-        own = F.array(k)
-        return F.coalesce(listed, nested, own)
+    A string is a leaf whatever it looks like. Null for anything but an object.
+    """
+    kind = F.schema_of_variant(F.try_parse_json(record))
+    fields = F.map_entries(F.when(kind.startswith("OBJECT"), F.from_json(record, "map<string,variant>")))
+    keys = lambda text: F.json_object_keys(text)
+
+    def below(field: Column) -> Column:
+        key, text, own = field["key"], field["value"].cast("string"), F.schema_of_variant(field["value"])
+        items = F.from_json(F.when(own.startswith("ARRAY<OBJECT"), text), "array<string>")
+        inner = F.array_distinct(F.flatten(F.transform(F.filter(items, lambda x: x.isNotNull()), keys)))
+        return F.coalesce(
+            F.transform(inner, lambda x: F.concat(key, F.lit("[]."), x)),
+            F.when(own.startswith("ARRAY"), F.array(F.concat(key, F.lit("[]")))),
+            F.transform(keys(F.when(own.startswith("OBJECT<"), text)), lambda x: F.concat(key, F.lit("."), x)),
+            F.array(key),
+        )
 
-    return F.array_sort(F.array_distinct(F.flatten(F.transform(keys, below))))
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(fields, below))))
 
 
 def schema_fingerprint(record: Column) -> Column:
@@ -94,24 +101,24 @@ def canonical_turns(df: DataFrame, record: str = "record", layouts: tuple[Layout
         else:
             kinds |= {f: f"`{f}` string" for _, f in layout.fields}
     values = F.from_json(F.col(record), ", ".join(kinds.values()))
-    df = df.withColumn("_v", values).withColumn("_f", schema_fingerprint(F.col(record)))
+    df = df.withColumn("__llm_values", values).withColumn("__llm_fingerprint", schema_fingerprint(F.col(record)))
 
     def turn(role: Column, text: Column) -> Column:
         return F.struct(F.coalesce(role, F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
 
     def listed(layout: Layout) -> Column:
         array, role, text = layout.turns
-        return F.transform(f"_v.{array}", lambda x: turn(_renamed(x[role], layout), x[text]))
+        return F.transform(f"__llm_values.{array}", lambda x: turn(_renamed(x[role], layout), x[text]))
 
     name, turns = F.lit(None).cast("string"), F.lit(None).cast("array<struct<role:string,text:string>>")
     for layout in layouts:
         if layout.turns:
             found = listed(layout)
         else:
-            found = F.array(*[turn(F.lit(r), F.col(f"_v.{f}")) for r, f in layout.fields])
-        hit = F.col("_f") == layout.fingerprint
+            found = F.array(*[turn(F.lit(r), F.col(f"__llm_values.{f}")) for r, f in layout.fields])
+        hit = F.col("__llm_fingerprint") == layout.fingerprint
         name, turns = F.when(hit, layout.name).otherwise(name), F.when(hit, found).otherwise(turns)
-    return df.withColumns({"layout": name, "turns": turns}).drop("_v", "_f")
+    return df.withColumns({"layout": name, "turns": turns}).drop("__llm_values", "__llm_fingerprint")
 
 
 def records(conversations: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -193,20 +200,20 @@ def format_turns(df: DataFrame, turns: str = "turns", loss_role: str = "assistan
         F.concat(F.lit(HEAD), _label(t["role"]), F.lit(BREAK)).alias("head"),
         escape(t["text"]).alias("body"), (t["role"] == loss_role).alias("loss"),
     ))
-    df = df.withColumn("_p", pieces)
-    df = df.withColumn("formatted", F.array_join(F.transform("_p", lambda p: F.concat(p["head"], p["body"], F.lit(END))), ""))
-    lengths = F.transform("_p", lambda p: F.char_length(p["head"]) + F.char_length(p["body"]) + len(END))
+    df = df.withColumn("__llm_pieces", pieces)
+    df = df.withColumn("formatted", F.array_join(F.transform("__llm_pieces", lambda p: F.concat(p["head"], p["body"], F.lit(END))), ""))
+    lengths = F.transform("__llm_pieces", lambda p: F.char_length(p["head"]) + F.char_length(p["body"]) + len(END))
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
     starts = F.aggregate(
         lengths, zero,
         lambda a, n: F.struct((a["at"] + n).alias("at"), F.concat(a["starts"], F.array(a["at"])).alias("starts")),
         lambda a: a["starts"],
     )
-    spans = F.transform(F.arrays_zip("_p", starts.alias("s")), lambda z, i: F.when(z["_p"]["loss"], F.struct(
-        i.alias("turn"), z["s"].alias("turn_start"), (z["s"] + F.char_length(z["_p"]["head"])).alias("start"),
-        (z["s"] + F.char_length(z["_p"]["head"]) + F.char_length(z["_p"]["body"])).alias("end"),
+    spans = F.transform(F.arrays_zip("__llm_pieces", starts.alias("s")), lambda z, i: F.when(z["__llm_pieces"]["loss"], F.struct(
+        i.alias("turn"), z["s"].alias("turn_start"), (z["s"] + F.char_length(z["__llm_pieces"]["head"])).alias("start"),
+        (z["s"] + F.char_length(z["__llm_pieces"]["head"]) + F.char_length(z["__llm_pieces"]["body"])).alias("end"),
     )))
-    return df.withColumn("loss_spans", F.array_compact(spans)).drop("_p")
+    return df.withColumn("loss_spans", F.array_compact(spans)).drop("__llm_pieces")
 
 
 def parse_formatted(df: DataFrame, formatted: str = "formatted") -> DataFrame:

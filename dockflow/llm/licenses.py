@@ -84,8 +84,8 @@ def detect(
                  F.lit(r.keyword).alias("keyword"), F.lit(r.pattern).alias("pattern"))
         for i, r in enumerate(rules)
     ]).cast(rule_type)
-    df = df.withColumn("_w", words_of(F.col(text)))
-    words = F.col("_w")
+    df = df.withColumn("__llm_words", words_of(F.col(text)))
+    words = F.col("__llm_words")
     gate = F.lit(False)
     for stem in stems:
         gate = gate | F.contains(words, F.lit(stem))
@@ -95,7 +95,7 @@ def detect(
         r["rule"].alias("rule"), r["label"].alias("label"),
     ))))
     none = F.array().cast("array<struct<start:int,minus_end:int,priority:int,rule:int,label:string>>")
-    df = df.withColumn("_d", F.when(gate, F.array_sort(found)).otherwise(none))
+    df = df.withColumn("__llm_found", F.when(gate, F.array_sort(found)).otherwise(none))
     # in this order whatever holds a detection comes before it: one running maximum of ends per priority
     ends = F.struct(F.array(*[F.lit(-1)] * 4).alias("far"), F.array().cast("array<boolean>").alias("kept"))
 
@@ -105,16 +105,16 @@ def detect(
         far = F.transform(acc["far"], lambda x, p: F.when(p >= d["priority"] - 1, F.greatest(x, end)).otherwise(x))
         return F.struct(far.alias("far"), F.concat(acc["kept"], F.array(kept)).alias("kept"))
 
-    kept = F.when(F.size("_d") > 0, F.aggregate("_d", ends, step, lambda acc: acc["kept"])).otherwise(F.array().cast("array<boolean>"))
-    split = F.when(F.size("_d") > 0, F.split(words, " "))
-    out = F.zip_with("_d", kept, lambda d, k: F.struct(
+    kept = F.when(F.size("__llm_found") > 0, F.aggregate("__llm_found", ends, step, lambda acc: acc["kept"])).otherwise(F.array().cast("array<boolean>"))
+    split = F.when(F.size("__llm_found") > 0, F.split(words, " "))
+    out = F.zip_with("__llm_found", kept, lambda d, k: F.struct(
         d["start"].alias("start"), (-d["minus_end"]).alias("end"), d["rule"].alias("rule"),
         d["priority"].alias("priority"), d["label"].alias("label"), k.alias("kept"),
     ))
-    df = df.withColumn("_o", out).withColumn("_s", split)
-    shown = F.transform("_o", lambda d: d.withField("text", F.array_join(F.slice("_s", d["start"] + 1, d["end"] - d["start"]), " ")))
+    df = df.withColumn("__llm_kept", out).withColumn("__llm_split", split)
+    shown = F.transform("__llm_kept", lambda d: d.withField("text", F.array_join(F.slice("__llm_split", d["start"] + 1, d["end"] - d["start"]), " ")))
     count = F.when(words == "", 0).otherwise(_blanks(words) + 1).cast("long")
-    return df.withColumns({name: shown, n_words: count}).drop("_w", "_d", "_o", "_s")
+    return df.withColumns({name: shown, n_words: count}).drop("__llm_words", "__llm_found", "__llm_kept", "__llm_split")
 
 
 def summary(detections: str = "detections", n_base: int = N_BASE) -> dict[str, Column]:

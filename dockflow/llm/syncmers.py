@@ -50,17 +50,17 @@ def anchors(df: DataFrame, hashes: str, out: str, k: int = K, s: int = S) -> Dat
         lambda a, b: F.xxhash64(a, b),
     )
     width = k - s + 1
-    df = df.withColumn("_r", runs)
-    df = df.withColumn("_low", run_minima(F.col("_r"), width))
+    df = df.withColumn("__llm_runs", runs)
+    df = df.withColumn("__llm_low", run_minima(F.col("__llm_runs"), width))
     at_edge = F.zip_with(
-        "_low", F.zip_with(F.slice("_r", 1, F.size("_low")), F.slice("_r", width, F.size("_low")), lambda a, b: F.least(a, b)),
+        "__llm_low", F.zip_with(F.slice("__llm_runs", 1, F.size("__llm_low")), F.slice("__llm_runs", width, F.size("__llm_low")), lambda a, b: F.least(a, b)),
         lambda low, edge: edge == low,
     )
     places = F.filter(F.transform(at_edge, lambda hit, i: F.when(hit, i)), lambda i: i.isNotNull())
     found = F.transform(places, lambda i: F.struct(i.alias("position"), F.xxhash64(F.slice(hashes, i + 1, k)).alias("hash")))
     one = F.array(F.struct(F.lit(0).alias("position"), F.xxhash64(F.col(hashes)).alias("hash")))
     none = F.array().cast("array<struct<position:int,hash:bigint>>")
-    return df.withColumn(out, F.when(n >= k, found).when(n > 0, one).otherwise(none)).drop("_r", "_low")
+    return df.withColumn(out, F.when(n >= k, found).when(n > 0, one).otherwise(none)).drop("__llm_runs", "__llm_low")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -99,23 +99,23 @@ def with_next(df: DataFrame, key: str, columns: list[str], buckets: int) -> Data
     if bounds:
         at = F.array(*map(F.lit, bounds))
         own = F.coalesce(F.size(F.filter(at, lambda b: b < F.col(key))), F.lit(0))
-    dealt = df.withColumn("_b", own)
-    heads = dealt.groupBy("_b").agg(F.min(F.struct(F.coalesce(F.col(key), F.lit(-(2**63))).alias("k"))).alias("h"))
-    heads = {r["_b"]: r["h"]["k"] for r in heads.collect()}  # one row per range
+    dealt = df.withColumn("__llm_range", own)
+    heads = dealt.groupBy("__llm_range").agg(F.min(F.struct(F.coalesce(F.col(key), F.lit(-(2**63))).alias("k"))).alias("h"))
+    heads = {r["__llm_range"]: r["h"]["k"] for r in heads.collect()}  # one row per range
     order = sorted(heads)
     before = {b: order[i - 1] for i, b in enumerate(order)}
     if not order:
-        return dealt.drop("_b").withColumns({f"next_{c}": F.col(c) for c in columns})
+        return dealt.drop("__llm_range").withColumns({f"next_{c}": F.col(c) for c in columns})
     least = F.create_map(*[F.lit(x).cast("bigint") for b in order for x in (b, heads[b])])
     prior = F.create_map(*[F.lit(x).cast("bigint") for b in order for x in (b, before[b])])
-    is_head = F.coalesce(F.col(key), F.lit(-(2**63))) == least[F.col("_b").cast("bigint")]
-    previous = prior[F.col("_b").cast("bigint")].cast("int")
+    is_head = F.coalesce(F.col(key), F.lit(-(2**63))) == least[F.col("__llm_range").cast("bigint")]
+    previous = prior[F.col("__llm_range").cast("bigint")].cast("int")
     places = F.when(is_head, F.array(
-        F.struct(F.col("_b").alias("b"), F.lit(False).alias("copy")), F.struct(previous.alias("b"), F.lit(True).alias("copy"))
-    )).otherwise(F.array(F.struct(F.col("_b").alias("b"), F.lit(False).alias("copy"))))
-    spread = dealt.withColumn("_p", F.explode(places)).select("*", "_p.*").drop("_p", "_b")
-    follow = Window.partitionBy("b").orderBy("copy", F.col(key).asc_nulls_first(), *columns)
+        F.struct(F.col("__llm_range").alias("__llm_b"), F.lit(False).alias("__llm_copy")), F.struct(previous.alias("__llm_b"), F.lit(True).alias("__llm_copy"))
+    )).otherwise(F.array(F.struct(F.col("__llm_range").alias("__llm_b"), F.lit(False).alias("__llm_copy"))))
+    spread = dealt.withColumn("__llm_place", F.explode(places)).select("*", "__llm_place.*").drop("__llm_place", "__llm_range")
+    follow = Window.partitionBy("__llm_b").orderBy("__llm_copy", F.col(key).asc_nulls_first(), *columns)
     return (
         spread.withColumns({f"next_{c}": F.lead(c).over(follow) for c in columns})
-        .where("not copy").drop("b", "copy")
+        .where("not __llm_copy").drop("__llm_b", "__llm_copy")
     )
