@@ -35,8 +35,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "departures": (
         (),
         f"""SELECT event_id, ts, user_id, event_type AS ride_type, value,
-            CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % {td.STATIONS} AS VARCHAR)
-              AS station
+            CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) AS VARCHAR) AS station
           FROM events""",
     ),
     "rides": (
@@ -855,20 +854,20 @@ ORACLE: dict[str, str] = {
         f"""SELECT count(*) AS stations, {_r("avg(total_outflow)", "mean_outflow")},
             {_r("median(total_outflow)", "median_outflow")}, max(total_outflow) AS max_outflow,
             min(total_outflow) AS min_outflow,
-            count(*) FILTER (total_outflow > 500) AS outflow_over_500,
-            count(*) FILTER (total_outflow > 5000) AS outflow_over_5000,
+            count(*) FILTER (total_outflow > 100) AS outflow_over_100,
+            count(*) FILTER (total_outflow > 1000) AS outflow_over_1000,
             {_r("avg(net_flow)", "mean_netflow")}, max(net_flow) AS max_netflow,
             min(net_flow) AS min_netflow, count(*) FILTER (net_flow > 0) AS attracting,
-            count(*) FILTER (net_flow < 0) AS sending, count(*) FILTER (net_flow > 10) AS extreme_in,
-            count(*) FILTER (net_flow < -10) AS extreme_out
+            count(*) FILTER (net_flow < 0) AS sending, count(*) FILTER (net_flow > 2) AS extreme_in,
+            count(*) FILTER (net_flow < -2) AS extreme_out
           FROM totals""",
         "totals",
     ),
     "outflow_histogram": _with(
-        _histogram("total_outflow", 50, "0", "greatest(400, max(total_outflow))"), "totals"
+        _histogram("total_outflow", 50, "0", "greatest(120, max(total_outflow))"), "totals"
     ),
     "netflow_histogram": _with(
-        _histogram("net_flow", 60, "least(-5, min(net_flow))", "greatest(5, max(net_flow))"),
+        _histogram("net_flow", 60, "least(-3, min(net_flow))", "greatest(3, max(net_flow))"),
         "totals",
     ),
     "top_stations": _with(

@@ -36,13 +36,13 @@ QUERIES: dict[str, Query] = {}
 # run parameters on the 30 days of the test tables
 PREDICT = K.RunDates.predict("20240201", weeks=2)
 TRAIN = K.RunDates.train("20240130", weeks=4)
-MAX_ORDERS = 25
-MEAN_ORDERS = 16.6
+MAX_ORDERS = 8
+MEAN_ORDERS = 3.6
 BUSY_RANGE = ("2024-01-01 00:00:00", "2024-01-21 00:00:00")
 PANEL_CUTOFF = "2024-01-29 23:00:00"
 LAG_CUTOFF = "2024-01-14 00:00:00"
-PREDICT_STEPS = 160
-TRAIN_STEPS = 320
+PREDICT_STEPS = 40
+TRAIN_STEPS = 80
 DAILY_STEPS = 12
 PAST, FUTURE = 72, 24
 BATCH = 64
@@ -640,17 +640,17 @@ def station_totals(spark, sf_dir):
 
 @query
 def station_stats(spark, sf_dir):
-    return _tidy(profile.station_stats(_totals(spark, sf_dir), (500, 5000), 10))
+    return _tidy(profile.station_stats(_totals(spark, sf_dir), (100, 1000), 2))
 
 
 @query
 def outflow_histogram(spark, sf_dir):
-    return _tidy(profile.outflow_histogram(_totals(spark, sf_dir), at_least=400))
+    return _tidy(profile.outflow_histogram(_totals(spark, sf_dir), at_least=120))
 
 
 @query
 def netflow_histogram(spark, sf_dir):
-    return _tidy(profile.netflow_histogram(_totals(spark, sf_dir), reach=5))
+    return _tidy(profile.netflow_histogram(_totals(spark, sf_dir), reach=3))
 
 
 @query

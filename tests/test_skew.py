@@ -3,6 +3,7 @@
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from dockflow.functions import keys as K
 from dockflow.operators import flow
 from dockflow.sources import adapters as td
 
@@ -44,3 +45,26 @@ def test_no_cross_join_and_no_window_over_raw_rides(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert "Exchange SinglePartition" not in plan
+
+
+def test_no_task_gets_a_heavy_user_whole(spark, tmp_path):
+    """The window over a user's events is split by minute: bounded rows per (user, minute)."""
+    _events(spark, str(tmp_path))
+    rides = td.rides(spark, str(tmp_path))
+    plan = rides._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line and "lag(" in line]
+    assert windows and all("rider" in w and "bucket" in w for w in windows)
+    heaviest = (
+        td.departures(spark, str(tmp_path))
+        .groupBy("user_id", K.floor_minute("ts")).count().agg(F.max("count")).first()[0]
+    )
+    assert heaviest <= 20  # of 6,600 events of the user
+
+
+def test_events_without_a_user_have_no_next_stop(spark, tmp_path):
+    _events(spark, str(tmp_path / "all"), 400)
+    events = spark.read.parquet(f"{tmp_path}/all/events.parquet")
+    events.withColumn("user_id", F.when(F.col("user_id") > 0, F.col("user_id"))).write.parquet(f"{tmp_path}/events.parquet")
+    lone = events.filter("user_id = 0").select(F.col("event_id").alias("ride_id"))
+    rides = td.rides(spark, str(tmp_path)).join(lone, "ride_id")
+    assert rides.count() == lone.count() > 50 and rides.filter("ended_at IS NOT NULL").count() == 0
