@@ -144,3 +144,47 @@ def op1_license_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.detect(documents)
     columns = licenses.summary()
     return found.select("doc_id", "n_words", *[c.alias(k) for k, c in columns.items()])
+
+
+# ---- the same results in SQL, where SQL can express them --------------------------------------
+
+ORACLE["op2_embedding_rp_forest"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.9
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY 1)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links, m.component_id,
+  e.vec_id = m.component_id AS kept
+FROM embeddings e JOIN least m ON m.a = e.vec_id"""
+
+ORACLE["op7_warc_segments"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, CASE WHEN strlen(coalesce(html, '')) >= 100
+    THEN min(page_id) OVER (PARTITION BY coalesce(html, '')) ELSE page_id END AS first
+  FROM pages)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, sha256(payload) AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to, true AS complete
+FROM p"""
+
+ORACLE["op9_chat_formatting"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+), f AS (
+  SELECT *, '### ' || upper(role[1]) || role[2:] || ': '
+    || replace(replace(replace(text, '\', '\b'), '###', '\h'), '</turn>', '\e') || '</turn>' || chr(10) AS shown
+  FROM t
+), g AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn) AS turns,
+    coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '') AS loss, sum(length(shown)) AS n
+  FROM f GROUP BY 1)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+  sha256(loss) AS loss_sha256, CAST(n AS BIGINT) AS formatted_chars
+FROM g"""

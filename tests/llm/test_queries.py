@@ -171,3 +171,13 @@ def test_toxicity(spark):
     spared = sum(1 - p for t, p in held if not t) / sum(1 - t for t, _ in held)
     # about one toxic row in twelve holds none of the words that mark the others
     assert caught > 0.88 and spared > 0.995
+
+
+@pytest.mark.parametrize("name", ["op2_embedding_rp_forest", "op7_warc_segments", "op9_chat_formatting"])
+def test_sql(spark, name):
+    from dockflow.llm.queries import ORACLE
+    from tests.compare import compare, connect
+
+    for sf_dir in (SF_DIR, "/root/testdata/sf0.001"):
+        difference, found = compare(spark, connect(sf_dir), QUERIES[name], ORACLE[name], sf_dir)
+        assert difference is None and found > 0
