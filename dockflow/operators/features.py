@@ -9,7 +9,6 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from dockflow.functions import keys as K
 from dockflow.functions import vectors as V

@@ -73,12 +73,6 @@ def full_pages_only(numbered: DataFrame, size: int, row: str = "row_id") -> Data
     return numbered.filter(F.col(row) <= F.floor(total / size) * size)
 
 
-def dense_ids(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Distinct non-null values with ids 0, 1, ... in ascending order."""
-    distinct = df.select(column).dropna().distinct()
-    return row_numbers(distinct, [column], name).withColumn(name, F.col(name) - 1)
-
-
 def fraction_exact(
     df: DataFrame, keys: Sequence[str], fraction: float, seed: int = 0, buckets_hex: int = 4
 ) -> DataFrame:

@@ -463,8 +463,10 @@ def position_features(spark, sf_dir):
 
 @query
 def khop_flow(spark, sf_dir):
-    values = td.panel(spark, sf_dir).select("station_id", "hour", "outflow")
-    return _tidy(graph.khop(values, [td.edges(spark, sf_dir)], "station_id", "hour", "outflow"))
+    # both are sums, small next to the events, and read once per hop
+    values = td.panel(spark, sf_dir).select("station_id", "hour", "outflow").persist()
+    edges = td.edges(spark, sf_dir).persist()
+    return _tidy(graph.khop(values, [edges], "station_id", "hour", "outflow"))
 
 
 @query
