@@ -32,7 +32,8 @@ class Settings:
     ``histories`` (64 at most) is the number of classes that preceding words are hashed into. Beginnings
     of words have ``shortest`` to ``longest`` letters. An expression's
     weight is dropped where the classes' counts do not differ by more than chance (``least_g2``, a
-    log-likelihood ratio) or by less than the factor ``exp(least_weight)``. ``calibration`` bounds the labelled rows that the final curve is
+    log-likelihood ratio) or by less than the factor ``exp(least_weight)``. ``neutral`` words are
+    added to every text, so that one word alone does not decide a short one. ``calibration`` bounds the labelled rows that the final curve is
     fitted on; of the labelled rows one in ``fold`` is kept from the counts for it.
     """
 
@@ -40,9 +41,10 @@ class Settings:
     histories: int = 64
     shortest: int = 3
     longest: int = 10
-    least_g2: float = 20.0
-    least_weight: float = 2.0
+    least_g2: float = 30.0
+    least_weight: float = 2.6
     fold: int = 6
+    neutral: int = 40
     calibration: int = 20_000
 
 
@@ -139,12 +141,12 @@ def _weight(word: str, table: np.ndarray, how: Settings) -> float:
 
 
 def ratio(text: str | None, find, known: dict[str, float], table: np.ndarray, how: Settings) -> float:
-    """Log-likelihood ratio per word; 0 for a text without words."""
+    """Log-likelihood ratio per word, with some neutral words added; 0 for a text without words."""
     words = find((text or "").lower())
     for word in set(words):
         if word not in known:
             known[word] = _weight(word, table, how)
-    return sum(map(known.__getitem__, words)) / max(1, len(words))
+    return sum(map(known.__getitem__, words)) / (len(words) + how.neutral)
 
 
 def _measured(df: DataFrame, text: str, model: Model, how: Settings, name: str) -> DataFrame:
