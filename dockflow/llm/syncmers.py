@@ -11,8 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Tokens: an ideograph or kana, or up to eight letters or digits from the start of a word.
-TOKEN = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}]|[\p{L}\p{M}\p{N}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}]]{1,8}"
+#: Ranges of ideographs and kana, which are tokens one by one.
+SINGLE = r"\x{2e80}-\x{2fdf}\x{3005}-\x{30ff}\x{3400}-\x{9fff}\x{f900}-\x{faff}\x{20000}-\x{3ffff}"
+#: Tokens: up to eight letters or digits from the start of a word, or one of the above.
+TOKEN = rf"[\p{{L}}\p{{M}}\p{{N}}&&[^{SINGLE}]]{{1,8}}|[{SINGLE}]"
 K, S = 8, 2
 
 
@@ -26,15 +28,19 @@ def _shifted(c: Column, by: int, n: Column) -> Column:
     return F.slice(c, by + 1, n)
 
 
-def run_minima(runs: Column, width: int) -> Column:
-    """Minimum of every ``width`` neighbours, by doubling (aligned to the first of them)."""
-    size, low, span = F.size(runs), runs, 1
+def with_minima(df: DataFrame, runs: str, width: int, out: str) -> DataFrame:
+    """``df`` with the minimum of every ``width`` neighbours in ``runs``, by doubling.
+
+    Each step is a column of its own: as one nested expression every step would evaluate the one before twice.
+    """
+    df, span = df.withColumn(out, F.col(runs)), 1
     while span < width:
         step = min(span, width - span)
-        rest = F.greatest(F.size(low) - step, F.lit(0))
-        low = F.zip_with(F.slice(low, 1, rest), _shifted(low, step, rest), lambda a, b: F.least(a, b))
+        rest = F.greatest(F.size(out) - step, F.lit(0))
+        low = F.zip_with(F.slice(out, 1, rest), _shifted(F.col(out), step, rest), lambda a, b: F.least(a, b))
+        df = df.withColumn(out, low)
         span += step
-    return low
+    return df
 
 
 def anchors(df: DataFrame, hashes: str, out: str, k: int = K, s: int = S) -> DataFrame:
@@ -51,7 +57,7 @@ def anchors(df: DataFrame, hashes: str, out: str, k: int = K, s: int = S) -> Dat
     )
     width = k - s + 1
     df = df.withColumn("__llm_runs", runs)
-    df = df.withColumn("__llm_low", run_minima(F.col("__llm_runs"), width))
+    df = with_minima(df, "__llm_runs", width, "__llm_low")
     at_edge = F.zip_with(
         "__llm_low", F.zip_with(F.slice("__llm_runs", 1, F.size("__llm_low")), F.slice("__llm_runs", width, F.size("__llm_low")), lambda a, b: F.least(a, b)),
         lambda low, edge: edge == low,

@@ -83,7 +83,8 @@ def _chained(values: list[int]) -> int:
 def syncmers(text: str, k: int = 8, s: int = 2) -> list[int]:
     import regex
 
-    token = r"[\p{Han}\p{Hiragana}\p{Katakana}]|[[\p{L}\p{M}\p{N}]--[\p{Han}\p{Hiragana}\p{Katakana}]]{1,8}"
+    single = r"\u2e80-\u2fdf\u3005-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+    token = rf"[[\p{{L}}\p{{M}}\p{{N}}]--[{single}]]{{1,8}}|[{single}]"
     found = regex.findall(token, text.lower(), regex.V1)
     signed = lambda h: h - (1 << 64) if h >> 63 else h
     h = [signed(xxhash.xxh64_intdigest(t.encode(), 42)) for t in found]
