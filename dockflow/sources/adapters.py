@@ -49,10 +49,12 @@ def _with_next_stop(events: DataFrame) -> DataFrame:
     shuffle of the events (the same columns), and the join back needs no other. An event
     without a user has no next stop.
     """
-    rider = F.coalesce("user_id", -1 - F.col("event_id")).alias("rider")
+    # never null, or the join's null filter on one side would keep the two from sharing the shuffle
+    rider = F.coalesce("user_id", -1 - F.col("event_id"), F.lit(-1)).alias("rider")
+    minute = F.coalesce(K.floor_minute("ts"), K.ntz("1970-01-01 00:00:00")).alias("bucket")
     stop = F.struct("ts", "event_id", "start_station_id", "ride_type").alias("stop")
     inside = W.partitionBy("rider", "bucket").orderBy("stop")
-    stops = events.select(rider, K.floor_minute("ts").alias("bucket"), stop).select(
+    stops = events.select(rider, minute, stop).select(
         "*",
         F.lead("stop").over(inside).alias("following"),
         F.lag("stop").over(inside).isNull().alias("is_head"),

@@ -68,3 +68,13 @@ def test_events_without_a_user_have_no_next_stop(spark, tmp_path):
     lone = events.filter("user_id = 0").select(F.col("event_id").alias("ride_id"))
     rides = td.rides(spark, str(tmp_path)).join(lone, "ride_id")
     assert rides.count() == lone.count() > 50 and rides.filter("ended_at IS NOT NULL").count() == 0
+
+
+def test_rides_read_the_events_once(spark):
+    from dockflow.plans.queries import QUERIES
+
+    for name in ("dense_panel", "ride_nulls", "outflow_histogram"):
+        df = QUERIES[name](spark, "/root/testdata/sf0.001")
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert (plan.count("FileScan"), plan.count("ReusedExchange")) == (1, 1), name
