@@ -19,7 +19,7 @@ SIGNATURES = r"""
 4 ; mit ; license ; expat license
 4 ; x11 ; license ; x11 license
 2 ; x11 ; spdx ; spdx license identifier x11
-1 ; mit-0 ; license ; mit no attribution(?: license)?
+1 ; mit-0 ; attribution ; mit no attribution(?: license)?
 2 ; mit-0 ; spdx ; spdx license identifier mit 0
 1 ; mit-advertising ; advertising ; mit license with (?:the )?advertising clause
 1 ; apache-2.0 ; apache ; licensed under the apache license version 2 0(?: the license)?
@@ -102,7 +102,7 @@ SIGNATURES = r"""
 3 ; gfdl-1.3 ; documentation ; gnu free documentation license version 1 3
 3 ; gfdl-1.2 ; documentation ; gnu free documentation license version 1 2
 4 ; gfdl ; documentation ; gnu free documentation license
-1 ; bsd-3-clause ; redistribut ; neither the name of .{1,200}? nor the names of its contributors may be used to endorse or promote products derived from this software
+1 ; bsd-3-clause ; endorse ; neither the name of .{1,200}? nor the names of its contributors may be used to endorse or promote products derived from this software
 1 ; bsd-2-clause ; redistribut ; redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer
 1 ; bsd ; redistribut ; redistribution and use in source and binary forms with or without modification are permitted
 1 ; bsd-4-clause ; advertising ; all advertising materials mentioning features or use of this software must display the following acknowledg(?:e)?ment
@@ -213,7 +213,7 @@ SIGNATURES = r"""
 1 ; perl ; perl ; (?:you can|it under) (?:redistribute it and or modify it under )?the same terms as perl itself
 1 ; psf-2.0 ; python ; python software foundation license(?: version 2)?
 2 ; psf-2.0 ; spdx ; spdx license identifier (?:psf|python) 2 0
-4 ; psf ; python ; psf license
+4 ; psf ; psf ; psf license
 1 ; openssl ; openssl ; this product includes software developed by the openssl project
 4 ; openssl ; openssl ; openssl license
 1 ; php-3.01 ; php ; this source file is subject to version 3 01 of the php license
@@ -249,7 +249,7 @@ SIGNATURES = r"""
 2 ; unicode-3.0 ; spdx ; spdx license identifier unicode 3 0
 3 ; w3c ; w3c ; w3c software (?:notice and|and document) license
 1 ; json ; evil ; the software shall be used for good not evil
-1 ; beerware ; beer ; as long as you retain this notice you can do whatever you want with this stuff
+1 ; beerware ; whatever ; as long as you retain this notice you can do whatever you want with this stuff
 4 ; beerware ; beerware ; beerware license
 1 ; curl ; curl ; curl license
 1 ; imagemagick ; imagemagick ; imagemagick license
@@ -273,7 +273,10 @@ SIGNATURES = r"""
 1 ; proprietary ; reserved ; all rights reserved
 1 ; proprietary ; confidential ; (?:proprietary and confidential|confidential and proprietary)
 1 ; proprietary ; prohibited ; unauthorized copying of this file via any medium is strictly prohibited
-1 ; non-commercial ; commercial ; for (?:non ?commercial|research|academic|educational) (?:use|purposes) only
+1 ; non-commercial ; commercial ; for non ?commercial (?:use|purposes) only
+1 ; non-commercial ; research ; for research (?:use|purposes) only
+1 ; non-commercial ; academic ; for academic (?:use|purposes) only
+1 ; non-commercial ; educational ; for educational (?:use|purposes) only
 1 ; no-derivatives ; derivative ; no derivative works (?:are )?(?:allowed|permitted)
 4 ; copyright ; copyright ; copyright (?:c )?(?:19|20)[0-9]{2}
 """
@@ -283,5 +286,5 @@ STEMS = (
     "licen", "spdx", "gpl", "copyright", "permission", "copies", "warrant", "redistribut", "advertising", "domain",
     "commons", "cc by", "cc0", "bsd", "wtfpl", "misrepresented", "eupl", "evil", "whatever", "perl", "ruby",
     "openssl", "cecill", "ncsa", "mozilla", "reserved", "confidential", "prohibited", "derivative",
-    "commercial", "research", "academic", "educational", "free software", "documentation", "w3c", "odbl",
+    "commercial", "research", "academic", "educational", "free software", "documentation", "w3c", "odbl", "attribution", "endorse",
 )
