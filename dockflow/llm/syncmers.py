@@ -19,9 +19,12 @@ K, S = 8, 2
 
 
 def token_hashes(text: Column) -> Column:
-    """Hash of every token of ``text`` (null: none)."""
-    found = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN), F.lit(0))
-    return F.transform(found, lambda t: F.xxhash64(t))
+    """Hash of every token of ``text`` (null or blank: none); a text of other signs only is one token."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    found = F.regexp_extract_all(low, F.lit(TOKEN), F.lit(0))
+    # inside an array of one, so that the tokens are extracted once
+    found = F.transform(F.array(found), lambda f: F.when((F.size(f) > 0) | (~F.rlike(low, F.lit(r"\S"))), f).otherwise(F.array(low)))
+    return F.transform(F.get(found, F.lit(0)), lambda t: F.xxhash64(t))
 
 
 def _shifted(c: Column, by: int, n: Column) -> Column:
@@ -46,7 +49,8 @@ def with_minima(df: DataFrame, runs: str, width: int, out: str) -> DataFrame:
 def anchors(df: DataFrame, hashes: str, out: str, k: int = K, s: int = S) -> DataFrame:
     """``df`` with the anchors of the token hashes: array of ``(position, hash)``, in text order.
 
-    A text of fewer than ``k`` tokens has one anchor, all its tokens; one without tokens has none.
+    A text of fewer than ``k`` tokens, or none of whose runs is an anchor, has one anchor, all its
+    tokens; one without tokens has none.
     """
     if s != 2:
         raise ValueError("inner runs are pairs of tokens")
@@ -66,7 +70,8 @@ def anchors(df: DataFrame, hashes: str, out: str, k: int = K, s: int = S) -> Dat
     found = F.transform(places, lambda i: F.struct(i.alias("position"), F.xxhash64(F.slice(hashes, i + 1, k)).alias("hash")))
     one = F.array(F.struct(F.lit(0).alias("position"), F.xxhash64(F.col(hashes)).alias("hash")))
     none = F.array().cast("array<struct<position:int,hash:bigint>>")
-    return df.withColumn(out, F.when(n >= k, found).when(n > 0, one).otherwise(none)).drop("__llm_runs", "__llm_low")
+    df = df.withColumn(out, found).withColumn(out, F.when(F.size(out) > 0, F.col(out)).when(n > 0, one).otherwise(none))
+    return df.drop("__llm_runs", "__llm_low")
 
 
 def likeness(a: Column, b: Column) -> Column:
