@@ -4,47 +4,70 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from dockflow.sources.scratch import staged
+
+#: Rows that one task sorts; the number of ranges follows from it and the number of rows.
+ROWS_PER_RANGE = 1_000_000
+
+
+def ranged(df: DataFrame, order: Sequence[str | Column], rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """``df`` written in ranges of ``order``, with ``_range`` and the place ``_place`` (from 0) in its range.
+
+    The caller's plan runs once, into a scratch table; bounds are sampled from that table, and there are as
+    many ranges as its rows need. Ranges are written too, so a task that runs again finds the same ones.
+    """
+    rows = staged(df, "rows")
+    ranges = max(1, -(-rows.count() // rows_per_range))
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    parts = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    return staged(parts.withColumns({"_range": F.spark_partition_id(), "_place": place}), "ranges")
+
 
 def running_totals(
-    df: DataFrame, order: Sequence[str], value: str | None, name: str, buckets: int = 256
+    df: DataFrame, order: Sequence[str], value: str, name: str, rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
-    """Sum of ``value`` (None: number of rows) over all rows before each row, by unique keys.
+    """Sum of ``value`` over all rows before each row, by unique keys ``order``.
 
-    Rows fall into ranges of the key between the keys of a small sample (those with the
-    smallest hashes). A row's total is that of the ranges before its own plus that of the rows
-    before it in its range, so no task sorts more than one range. Nothing runs before the result
-    is read, and a task that runs again finds the same totals.
+    A row's total is that of the ranges before its own, from a table of one row per range, plus that of the
+    rows before it in its range, so no task sorts more than one range.
     """
-    key = F.struct(*order)
-    sample = df.select(key.alias("_key")).orderBy(F.xxhash64(*order), "_key").limit(buckets - 1)
-    bounds = sample.agg(F.array_sort(F.collect_list("_key")).alias("_bounds")).scalar()
-    ranged = (
-        df.withColumn("_bounds", bounds)
-        .withColumn("_range", F.size(F.filter("_bounds", lambda b: b < key)))
-        .drop("_bounds")
-    )
-    amount = F.lit(1) if value is None else F.col(value)
+    parts = ranged(df, order, rows_per_range)
     before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    ahead = W.partitionBy("_range").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    # at most one row per range, here and in the broadcast
-    offsets = (
-        ranged.groupBy("_range")
-        .agg(F.sum(amount).alias("_sum"))
-        .select("_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
-    )
-    inside = ranged.withColumn("_ahead", F.coalesce(F.sum(amount).over(ahead), F.lit(0)))
-    return inside.join(F.broadcast(offsets), "_range").select(
+    ahead = W.partitionBy("_range").orderBy("_place").rowsBetween(W.unboundedPreceding, -1)
+    per_range = parts.groupBy("_range").agg(F.sum(value).alias("_sum"))
+    offsets = per_range.select("_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
+    inside = parts.withColumn("_ahead", F.coalesce(F.sum(value).over(ahead), F.lit(0)))
+    return inside.join(offsets, "_range").select(
         *df.columns, (F.col("_offset") + F.col("_ahead")).alias(name)
     )
 
 
-def row_numbers(keys: DataFrame, order: Sequence[str], name: str = "row_id") -> DataFrame:
-    """Number the rows 1..n in the order of the given (together unique) columns."""
-    return running_totals(keys, order, None, name).withColumn(name, F.col(name) + 1)
+def row_numbers(
+    keys: DataFrame,
+    order: Sequence[str | Column],
+    name: str = "row_id",
+    by: Sequence[str] = (),
+    rows_per_range: int = ROWS_PER_RANGE,
+) -> DataFrame:
+    """Number the rows 1..n in ``order``, within every group of the columns ``by`` (never null) if given.
+
+    A group may hold any share of the rows: ranges cut through groups, and a table of one row per range and
+    group in it says how many rows of the group lie before. Rows that ``order`` does not tell apart
+    get their numbers in any order.
+    """
+    parts = ranged(keys, [*by, *order], rows_per_range)
+    per_range = parts.groupBy("_range", *by).agg(F.count("*").alias("_rows"), F.min("_place").alias("_first"))
+    before = W.partitionBy(*by).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = per_range.select(
+        "_range", *by, (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first") + 1).alias("_offset")
+    )
+    return parts.join(offsets, ["_range", *by]).select(
+        *keys.columns, (F.col("_offset") + F.col("_place")).alias(name)
+    )
 
 
 def number_rows(df: DataFrame, key: str, name: str = "row_id") -> DataFrame:
@@ -67,9 +90,12 @@ def hash_pages(df: DataFrame, key: str, count: int, name: str = "batch_id") -> D
     return df.withColumn(name, F.pmod(F.xxhash64(key), F.lit(count)))
 
 
-def full_pages_only(numbered: DataFrame, size: int, row: str = "row_id") -> DataFrame:
-    """Drop the rows of a last page that is not full."""
-    total = numbered.agg(F.count("*").alias("n")).scalar()
+def full_pages_only(
+    numbered: DataFrame, size: int, row: str = "row_id", total: Column | None = None
+) -> DataFrame:
+    """Drop the rows of a last page that is not full; ``total`` saves the count where it is known."""
+    if total is None:
+        total = numbered.agg(F.count("*").alias("n")).scalar()
     return numbered.filter(F.col(row) <= F.floor(total / size) * size)
 
 

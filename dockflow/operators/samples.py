@@ -68,14 +68,25 @@ def _sample_count(features: str, days_used: int, per_day: int) -> Column:
     return (F.floor(F.size(features) / per_day) - days_used).cast("int")
 
 
-def sample_keys(
-    sequences: DataFrame, seq_days: int, reserve_days: int = 3, per_day: int = 24, features: str = "features",
-    static: str | None = None,
+def sample_counts(
+    steps: DataFrame, site: str, seq_days: int, reserve_days: int = 3, per_day: int = 24
 ) -> DataFrame:
-    """The keys and indices of :func:`daily_samples` without their slices."""
-    count = _sample_count(features, seq_days + reserve_days, per_day)
-    others = [c for c in sequences.columns if c not in (features, static)]
-    return _exploded(sequences.select(*others, count.alias("_n")), F.col("_n"), "sample_idx").drop("_n")
+    """Number ``samples`` of :func:`daily_samples` per site, from counts of its steps; no sequence is packed."""
+    n = F.floor(F.count("*") / per_day) - (seq_days + reserve_days)
+    return steps.groupBy(site).agg(n.cast("int").alias("samples")).filter("samples > 0")
+
+
+def packed_counts(
+    sequences: DataFrame, site: str, seq_days: int, reserve_days: int = 3, per_day: int = 24, features: str = "features"
+) -> DataFrame:
+    """The same from sequences that are packed already."""
+    n = _sample_count(features, seq_days + reserve_days, per_day)
+    return sequences.select(site, n.alias("samples")).filter("samples > 0")
+
+
+def sample_keys(counts: DataFrame) -> DataFrame:
+    """The keys and indices of :func:`daily_samples` from the table of counts, without their slices."""
+    return _exploded(counts, F.col("samples"), "sample_idx").drop("samples")
 
 
 def split_days(
@@ -154,11 +165,12 @@ def ratio_split(
     return df.withColumn("split", name)
 
 
-def sample_rows(samples: DataFrame, site: str, name: str = "row_id") -> DataFrame:
-    """Row id of every sample in (site, index) order, from running sums of the sites' sample counts.
+def sample_rows(counts: DataFrame, site: str, name: str = "row_id") -> tuple[DataFrame, Column]:
+    """Row id of every sample in (site, index) order, and their number.
 
-    A site's samples have the indices 0 to n - 1; n may differ from site to site.
+    Both come from running sums of the sites' sample counts; n may differ from site to site.
     """
-    counts = samples.groupBy(site).agg(F.count("*").alias("_samples"))
-    before = numbering.running_totals(counts, [site], "_samples", "_before").drop("_samples")
-    return samples.join(before, site).withColumn(name, F.col("_before") + F.col("sample_idx") + 1).drop("_before")
+    before = numbering.running_totals(counts, [site], "samples", "_before")
+    rows = _exploded(before, F.col("samples"), "sample_idx")
+    total = before.agg(F.max(F.col("_before") + F.col("samples"))).scalar()
+    return rows.withColumn(name, F.col("_before") + F.col("sample_idx") + 1).drop("_before", "samples"), total

@@ -420,17 +420,20 @@ def ratio_split(spark, sf_dir):
     )
 
 
+def _sample_counts(spark, sf_dir):
+    return samples.sample_counts(td.panel(spark, sf_dir), "station_id", 7)
+
+
 @query
 def train_subsample(spark, sf_dir):
-    ids = samples.sample_keys(_flow_sequences(spark, sf_dir), 7)
+    ids = samples.sample_keys(_sample_counts(spark, sf_dir))
     return _tidy(numbering.fraction_exact(ids, ["station_id", "sample_idx"], 0.4, seed=7))
 
 
 @query
 def full_batches(spark, sf_dir):
-    ids = samples.sample_keys(_flow_sequences(spark, sf_dir), 7)
-    rows = samples.sample_rows(ids, "station_id")
-    return _tidy(numbering.pages(numbering.full_pages_only(rows, BATCH), BATCH))
+    rows, total = samples.sample_rows(_sample_counts(spark, sf_dir), "station_id")
+    return _tidy(numbering.pages(numbering.full_pages_only(rows, BATCH, total=total), BATCH))
 
 
 @query

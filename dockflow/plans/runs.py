@@ -346,9 +346,9 @@ def daily_training_sets(
     parts = samples.split_days(packed, splits)
     rows = samples.daily_samples(parts, seq_days, {"y": 0})
     # the share is drawn from the keys alone; the samples are cut once
-    ids = samples.sample_keys(parts.filter(F.col("split") == "train"), seq_days)
+    counts = samples.packed_counts(parts.filter(F.col("split") == "train"), "station_id", seq_days)
     picked = numbering.fraction_exact(
-        ids.select("station_id", "sample_idx"), ["station_id", "sample_idx"], share, seed
+        samples.sample_keys(counts), ["station_id", "sample_idx"], share, seed
     ).withColumn("split", F.lit("train"))
     others = F.col("split") != "train"
     marked = rows.join(picked.withColumn("_picked", F.lit(True)), ["station_id", "sample_idx", "split"], "left")

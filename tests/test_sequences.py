@@ -181,21 +181,51 @@ def test_ratio_split_sizes_round_half_to_even(spark):
 
 def test_sample_rows_follow_site_and_index(spark, frame):
     sizes = {"b": 2, "a": 3, "d": 0, "c": 5}
-    ids = frame([(s, i) for s, n in sizes.items() for i in range(n)], "site string, sample_idx int")
-    out = samples.sample_rows(ids, "site")
+    steps = frame([(s, i) for s, n in sizes.items() for i in range((n + 10) * 24 + 7)], "site string, t int")
+    counts = samples.sample_counts(steps, "site", 7)
+    assert _rows(counts) == [("a", 3), ("b", 2), ("c", 5)]
     expected = [(s, i) for s in sorted(sizes) for i in range(sizes[s])]
+    assert _rows(samples.sample_keys(counts)) == expected
+    out, total = samples.sample_rows(counts, "site")
     assert _rows(out.select("site", "sample_idx", "row_id")) == [(s, i, n) for n, (s, i) in enumerate(expected, 1)]
+    assert numbering.full_pages_only(out, 4, total=total).count() == 8
+    assert samples.sample_rows(counts.limit(0), "site")[0].count() == 0
 
 
-def test_row_numbers_run_no_job_before_they_are_read(spark):
-    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
-    keys = spark.range(1000).select(F.format_string("k%05d", F.pmod(F.col("id") * 389, F.lit(1000))).alias("k"))
-    numbered = numbering.row_numbers(keys, ["k"])
-    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
-    assert _rows(numbered) == [(f"k{i:05d}", i + 1) for i in range(1000)]
+def test_row_numbers_run_the_plan_before_them_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for frame in frames:
+            seen.add(len(frame))
+            yield frame
+
+    keys = spark.range(1000, numPartitions=5).mapInPandas(count, "id long")
+    keys = keys.select(F.format_string("k%05d", F.pmod(F.col("id") * 389, F.lit(1000))).alias("k"))
+    numbered = numbering.row_numbers(keys, ["k"], rows_per_range=90)
+    for _ in range(2):
+        assert _rows(numbered) == [(f"k{i:05d}", i + 1) for i in range(1000)]
+    assert seen.value == 1000
     assert _rows(numbering.row_numbers(keys.limit(0), ["k"])) == []
 
 
+def test_ranges_grow_with_the_rows_and_cut_groups(spark):
+    df = spark.range(3000).select((F.col("id") % 1000 % 7 == 0).cast("int").alias("g"), "id")
+    parts = numbering.ranged(df, ["g", "id"], rows_per_range=100)
+    sizes = [r["count"] for r in parts.groupBy("_range").count().collect()]
+    assert len(sizes) == 30 and max(sizes) < 300
+    got = numbering.row_numbers(df, [F.desc("id")], by=["g"], rows_per_range=100).collect()
+    for g in (0, 1):
+        ids = [r["id"] for r in sorted((r for r in got if r["g"] == g), key=lambda r: r["row_id"])]
+        assert ids == sorted(ids, reverse=True) and len(ids) == sum(r["g"] == g for r in got)
+        assert sorted(r["row_id"] for r in got if r["g"] == g) == list(range(1, len(ids) + 1))
+    sums = numbering.running_totals(df, ["id"], "g", "before", rows_per_range=100).orderBy("id").collect()
+    total = 0
+    for r in sums:
+        assert r["before"] == total
+        total += r["g"]
+
+
 def test_sample_slices_do_not_carry_the_sequence(spark, frame):
     df = frame([("a", [[float(i)] for i in range(24 * 12)])], "k string, features array<array<double>>")
     plan = samples.daily_samples(df, 7, {"y": 0})._jdf.queryExecution().optimizedPlan().toString()
