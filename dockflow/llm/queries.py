@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockflow.llm import bpe, chat, embeddings, licenses, mixing, secret_scan, simhash, syncmers, toxicity, warc
+from dockflow.llm import (
+    bpe, chat, embeddings, importance, lexical, licenses, mixing, secret_scan, sharding, simhash, syncmers, toxicity,
+    warc,
+)
 from dockflow.llm.base import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,6 +149,27 @@ def op1_license_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", *[c.alias(k) for k, c in columns.items()])
 
 
+@query
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=5, least_words=20, seed=42
+    )
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+@query
+def op13_kk_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.shard_slots(table(spark, sf_dir, "documents"), shards=16)
+    return found.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 # ---- the same results in SQL, where SQL can express them --------------------------------------
 
 ORACLE["op2_embedding_rp_forest"] = """
@@ -188,3 +212,69 @@ WITH t AS (
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
   sha256(loss) AS loss_sha256, CAST(n AS BIGINT) AS formatted_chars
 FROM g"""
+
+ORACLE["op11_importance_resampling"] = r"""
+WITH table_of AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]),
+      lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT CAST(range AS BIGINT) AS i FROM range(256)))
+), words AS (
+  SELECT doc_id AS id, true AS own, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL
+  SELECT item_id, false, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
+), runs AS (
+  SELECT id, own, unnest(w) AS f FROM words
+  UNION ALL SELECT id, own, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM words
+  UNION ALL
+  SELECT id, own, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+  FROM words
+), features AS MATERIALIZED (SELECT id, own, f, count(*) AS n FROM runs GROUP BY ALL
+), coded AS MATERIALIZED (
+  SELECT f, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, strlen(f) + 1),
+    lambda i: CAST('0x' || substr(h, CAST(2 * i - 1 AS BIGINT), 2) AS BIGINT))),
+    lambda c, b: xor(t[xor(c, b) % 256 + 1], c >> 8)), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT f, hex(f) AS h FROM features), table_of
+), counts AS (
+  SELECT bucket, coalesce(sum(n) FILTER (own), 0) AS s, coalesce(sum(n) FILTER (NOT own), 0) AS t
+  FROM features JOIN coded USING (f) GROUP BY 1
+), gains AS MATERIALIZED (
+  SELECT bucket, floor(1000 * ln(CAST((t + 1) * (all_s + 10000) AS DOUBLE) / CAST((s + 1) * (all_t + 10000) AS DOUBLE)))
+    AS gain
+  FROM counts, (SELECT sum(s) AS all_s, sum(t) AS all_t FROM counts)
+), weights AS (
+  SELECT id, CAST(sum(n * gain) AS BIGINT) AS weight
+  FROM features JOIN coded USING (f) JOIN gains USING (bucket) WHERE own GROUP BY 1
+), scored AS (
+  SELECT id AS doc_id, CASE WHEN len(w) >= 3 THEN 3 * len(w) - 3 WHEN len(w) = 2 THEN 3 ELSE len(w) END AS n_features,
+    len(w) >= 20 AS fit, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+      (CAST('0x' || sha256('42:' || id)[1:8] AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM words LEFT JOIN weights USING (id) WHERE words.own
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY fit ORDER BY score DESC, doc_id) AS place FROM scored)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score,
+  CASE WHEN fit AND place <= 5 * (SELECT count(*) FROM scored WHERE fit) // 100 THEN place END AS rank
+FROM placed"""
+
+ORACLE["op12_lexical_search"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), items AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), corpus AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0
+), tf AS (SELECT row, doc_id, len(w) AS n, term, count(*) AS tf FROM (SELECT row, doc_id, w, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM items) GROUP BY ALL
+), df AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM tf, corpus GROUP BY term, n_docs
+), scored AS (
+  SELECT item_id, row, doc_id,
+    CAST(sum(df.w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM items JOIN tf USING (term) JOIN df USING (term), corpus GROUP BY 1, 2, 3
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM placed WHERE rank <= 50"""

@@ -7,7 +7,7 @@ from collections import defaultdict
 import pyarrow.dataset as ds
 import pytest
 
-from dockflow.llm.queries import QUERIES
+from dockflow.llm.queries import ORACLE, QUERIES
 from tests.llm import brute
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -173,9 +173,8 @@ def test_toxicity(spark):
     assert caught > 0.88 and spared > 0.995
 
 
-@pytest.mark.parametrize("name", ["op2_embedding_rp_forest", "op7_warc_segments", "op9_chat_formatting"])
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_sql(spark, name):
-    from dockflow.llm.queries import ORACLE
     from tests.compare import compare, connect
 
     for sf_dir in (SF_DIR, "/root/testdata/sf0.001"):
