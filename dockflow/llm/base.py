@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockflow.session import ensure_checkpoint_dir
+from dockflow.sources.scratch import scratch_path, staged
 
 #: A-Z to a-z and nothing else.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -17,21 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below ``spark.checkpoint.dir``, which driver and executors share."""
-    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to a scratch table and read from there.
 
     Cuts the lineage like a checkpoint: a lost executor costs a read, not the work before it. Unlike
     a checkpoint the table has a known size, so Catalyst can choose a broadcast by that size.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return staged(df, name)
 
 
 def text_batches(spark: SparkSession, rows: int = 500) -> None:

@@ -1,6 +1,6 @@
 """Byte-level BPE: every distinct word of the corpus is encoded once.
 
-Texts are read in blocks of some 32 million characters. A block is written as one dictionary of
+Texts are read in blocks of some 24 million characters. A block is written as one dictionary of
 its distinct pre-tokens and, per position, the dictionary number of the pre-token there. Only the
 dictionaries are shuffled by word; each word is encoded where its entries meet, and the ids go back
 to the blocks, where they are put in place by position. Both shuffles carry a word once per block,
@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from dockflow.llm.base import bucketed, text_batches
 
-BLOCK_CHARS = 32_000_000
+BLOCK_CHARS = 24_000_000
 _CACHE: dict = {}
 
 
@@ -111,7 +111,8 @@ def _blocks(key: list[str], text: str, pattern: str, chars: int, buckets: int, s
                 part = batch.slice(at, 500)
                 texts = [t or "" for t in part.column(text).to_pylist()]
                 codes = [np.array([words.setdefault(w, len(words)) for w in find(t)], np.uint32) for t in texts]
-                held.append((part.select(key), codes))
+                # taken, not sliced: a slice would keep the message with the texts in memory
+                held.append((part.select(key).take(pa.array(np.arange(part.num_rows))), codes))
                 size += sum(map(len, texts))
                 if size >= chars:
                     yield from flush()

@@ -11,7 +11,8 @@ from dockflow.llm import (
     bpe, chat, embeddings, importance, lexical, licenses, mixing, secret_scan, sharding, simhash, syncmers, toxicity,
     warc,
 )
-from dockflow.llm.base import scratch_path, table
+from dockflow.llm.base import table
+from dockflow.sources.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}

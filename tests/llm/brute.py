@@ -86,6 +86,8 @@ def syncmers(text: str, k: int = 8, s: int = 2) -> list[int]:
     single = r"\u2e80-\u2fdf\u3005-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
     token = rf"[[\p{{L}}\p{{M}}\p{{N}}]--[{single}]]{{1,8}}|[{single}]"
     found = regex.findall(token, text.lower(), regex.V1)
+    if not found and re.search(r"[^ \t\n\x0b\f\r]", text):
+        found = [text.lower()]  # other signs only: one token
     signed = lambda h: h - (1 << 64) if h >> 63 else h
     h = [signed(xxhash.xxh64_intdigest(t.encode(), 42)) for t in found]
     if len(h) < k:
@@ -97,7 +99,7 @@ def syncmers(text: str, k: int = 8, s: int = 2) -> list[int]:
         part = runs[i : i + w]
         if min(part) in (part[0], part[-1]):
             out.append(_chained(h[i : i + k]))
-    return out
+    return out or [_chained(h)]
 
 
 def shown(anchors: list[int]) -> str:
