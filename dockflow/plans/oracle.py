@@ -392,6 +392,26 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
+CTES["days_"] = (
+    ("labels_",),
+    "SELECT *, CAST(strptime(pt, '%Y%m%d') AS DATE) - DATE '2024-01-01' AS day FROM labels_",
+)
+
+
+def _hops(edges: str) -> tuple[tuple[str, ...], str]:
+    """Sums after one hop (k = 1) and after two."""
+    hop = """SELECT e.dst AS station_id, v.hour, sum(e.weight * v.outflow) AS outflow
+      FROM {source} v JOIN ({edges}) e ON e.src = v.station_id GROUP BY 1, 2"""
+    once, twice = (hop.format(source=s, edges=edges) for s in ("panel", "once"))
+    return ("panel", "edges_"), f"""WITH once AS MATERIALIZED ({once}), twice AS MATERIALIZED ({twice})
+      SELECT 1 AS k, * FROM once UNION ALL SELECT 2 AS k, * FROM twice"""
+
+
+CTES["hops_forth"] = _hops("SELECT * FROM edges_")
+CTES["hops_back"] = _hops("SELECT dst AS src, src AS dst, weight FROM edges_ WHERE src IS NOT NULL")
+CTES["hops_apart"] = _hops("SELECT * FROM edges_ WHERE src != dst")
+
+
 def _with(body: str, *names: str) -> str:
     """``body`` preceded by the expressions it reads, in order of dependence."""
     ordered: list[str] = []
@@ -404,7 +424,7 @@ def _with(body: str, *names: str) -> str:
 
     for name in names:
         visit(name)
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n][1]})" for n in ordered) + "\n" + body
+    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({CTES[n][1]})" for n in ordered) + "\n" + body
 
 
 def _r(expression: str, name: str, digits: int = 6) -> str:
@@ -511,8 +531,15 @@ def _waves(width: int) -> str:
     return ", ".join(columns)
 
 
-_HOP = """SELECT e.dst AS station_id, v.hour, sum(e.weight * v.outflow) AS outflow
-  FROM {source} v JOIN edges_ e ON e.src = v.station_id GROUP BY 1, 2"""
+def _khop(columns: dict[str, str]) -> str:
+    shown = ", ".join(_r(f"coalesce({t}.outflow, 0)", name) for name, t in columns.items())
+    joins = " ".join(
+        f"LEFT JOIN (SELECT * FROM hops_{ {'f': 'forth', 'b': 'back', 'a': 'apart'}[t[0]] } WHERE k = {t[1]}) {t} "
+        "USING (station_id, hour)"
+        for t in columns.values()
+    )
+    return f"SELECT p.station_id, p.hour, CAST(p.outflow AS DOUBLE) AS outflow, {shown} FROM panel p {joins}"
+
 
 ORACLE: dict[str, str] = {
     "hourly_outflow": _with("SELECT * FROM outflow", "outflow"),
@@ -547,15 +574,12 @@ ORACLE: dict[str, str] = {
         "labels_",
     ),
     "same_hour_lags_calendar": _with(
-        f"""SELECT l.*, {", ".join(f"coalesce(p{k}.{c}, 0) AS {n}" for n, (c, k) in _LAG_SQL.items())}
-          FROM labels_ l """
-        + " ".join(
-            f"""LEFT JOIN labels_ p{k} ON p{k}.site_guid = l.site_guid AND p{k}.hour = l.hour
-              AND p{k}.pt = strftime(strptime(l.pt, '%Y%m%d') - INTERVAL {k} DAY, '%Y%m%d')"""
-            for k in ft.LAG_DAYS
-        )
-        + f" WHERE l.pt BETWEEN '20240117' AND '20240130'",
-        "labels_",
+        f"""SELECT l.site_guid, l.city_guid, l.label_10, l.label_16, l.label_21, l.hour, l.pt,
+            {", ".join(f"coalesce(max(p.{c}) FILTER (l.day - p.day = {k}), 0) AS {n}" for n, (c, k) in _LAG_SQL.items())}
+          FROM days_ l LEFT JOIN days_ p ON p.site_guid = l.site_guid AND p.hour = l.hour
+            AND l.day - p.day IN ({", ".join(map(str, ft.LAG_DAYS))})
+          WHERE l.pt BETWEEN '20240117' AND '20240130' GROUP BY ALL""",
+        "days_",
     ),
     "order_day_lag": _with(
         """SELECT site_guid, pt, daily_order_cnt, parking_capacity,
@@ -709,16 +733,13 @@ ORACLE: dict[str, str] = {
           FROM (SELECT station_id, step AS position FROM flow_steps)""",
         "flow_steps",
     ),
-    "khop_flow": _with(
-        f"""SELECT p.station_id, p.hour, CAST(p.outflow AS DOUBLE) AS outflow,
-            {_r("coalesce(h1.outflow, 0)", "outflow_hop1")},
-            {_r("coalesce(h2.outflow, 0)", "outflow_hop2")}
-          FROM panel p
-          LEFT JOIN ({_HOP.format(source="panel")}) h1 USING (station_id, hour)
-          LEFT JOIN ({_HOP.format(source="(" + _HOP.format(source="panel") + ")")}) h2
-            USING (station_id, hour)""",
+    "khop_flow": _with(_khop({"outflow_hop1": "f1", "outflow_hop2": "f2"}), "panel", "hops_forth"),
+    "khop_supports": _with(
+        _khop({f"outflow_hop{k}_s{i}": f"{s}{k}" for i, s in enumerate("fba") for k in (1, 2)}),
         "panel",
-        "edges_",
+        "hops_forth",
+        "hops_back",
+        "hops_apart",
     ),
     "edge_softmax": _with(
         f"""SELECT src, dst, {_r("weight", "weight", 9)},

@@ -28,7 +28,7 @@ from dockflow.operators import (
     sites,
 )
 from dockflow.sources import adapters as td
-from dockflow.sources import readers
+from dockflow.sources import readers, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -464,12 +464,27 @@ def position_features(spark, sf_dir):
     return _tidy(steps.withColumns(waves))
 
 
+def _values_and_rides(spark, sf_dir):
+    """Hourly departures, and the rides themselves, written once for all that is read from them."""
+    ends = ["started_at", "ended_at", "start_station_id", "end_station_id"]
+    found = scratch.staged(td.rides(spark, sf_dir).select(ends), "rides")
+    return td.panel_of(found).select("station_id", "hour", "outflow"), found
+
+
 @query
 def khop_flow(spark, sf_dir):
-    # both are sums, small next to the events, and read once per hop
-    values = td.panel(spark, sf_dir).select("station_id", "hour", "outflow").persist()
-    edges = td.edges(spark, sf_dir).persist()
-    return _tidy(graph.khop(values, [edges], "station_id", "hour", "outflow"))
+    values, found = _values_and_rides(spark, sf_dir)
+    return _tidy(graph.khop(values, [td.edges_of(found)], "station_id", "hour", "outflow"))
+
+
+@query
+def khop_supports(spark, sf_dir):
+    """Two hops over three edge sets: ride shares, the same rides backwards, shares between unequal stations."""
+    values, found = _values_and_rides(spark, sf_dir)
+    shares = scratch.staged(td.edges_of(found), "shares").dropna(subset=["src"])
+    back = shares.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
+    apart = shares.filter("src != dst")
+    return _tidy(graph.khop(values, [shares, back, apart], "station_id", "hour", "outflow"))
 
 
 @query

@@ -105,7 +105,11 @@ def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(station_id, hour, inflow, outflow) for every station and hour."""
-    return flow.dense_panel(flow.hourly_flow(rides(spark, sf_dir)), PANEL_START, PANEL_END)
+    return panel_of(rides(spark, sf_dir))
+
+
+def panel_of(found: DataFrame) -> DataFrame:
+    return flow.dense_panel(flow.hourly_flow(found), PANEL_START, PANEL_END)
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,8 +198,12 @@ def known_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of the rides of ``src`` that end at ``dst``."""
+    return edges_of(rides(spark, sf_dir))
+
+
+def edges_of(found: DataFrame) -> DataFrame:
     pairs = (
-        rides(spark, sf_dir)
+        found
         .groupBy(F.col("start_station_id").alias("src"), F.col("end_station_id").alias("dst"))
         .agg(F.count("*").alias("n"))
     )

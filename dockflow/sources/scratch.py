@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +32,23 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, columns: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """Like :func:`staged`, in hash buckets of ``columns``: grouping and joining by them needs no shuffle.
+
+    As many buckets as shuffle partitions unless given. The files lie in the scratch folder; the catalog
+    entry, which bucketing needs, goes at once.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    entry = f"{name}_{uuid.uuid4().hex}"
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.repartition(count, *columns).write.format("parquet").option("path", path)
+    writer.bucketBy(count, *columns).saveAsTable(entry)
+    out = spark.table(entry)
+    spark.sql(f"DROP TABLE {entry}")
+    return out
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a path on whatever file system holds it; nothing happens where it is absent."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

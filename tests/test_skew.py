@@ -4,7 +4,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dockflow.functions import keys as K
-from dockflow.operators import flow
+from dockflow.operators import flow, graph
 from dockflow.sources import adapters as td
 
 
@@ -78,3 +78,19 @@ def test_rides_read_the_events_once(spark):
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         assert (plan.count("FileScan"), plan.count("ReusedExchange")) == (1, 1), name
+
+
+def test_a_hub_with_a_third_of_the_edges_is_cut_by_its_degree(spark):
+    n = 30_000
+    src = F.when(F.col("id") % 3 == 0, "hub").otherwise(F.concat(F.lit("s"), (F.col("id") % 997).cast("string")))
+    edges = spark.range(n).select(src.alias("src"), F.concat(F.lit("s"), (F.col("id") % 1009).cast("string")).alias("dst"), F.lit(1.0).alias("weight"))
+    cut, hubs = graph.prepare_edges(edges, edges_per_part=500)
+    assert hubs.collect() == [("hub", 20)]
+    groups = cut.groupBy("src", "part").count().agg(F.max("count"), F.sum("count")).first()
+    assert groups[0] < 800 and groups[1] == n
+    values = spark.range(5).select(F.lit("hub").alias("node"), F.col("id").alias("t"), F.lit(2.0).alias("v"))
+    out = graph.hop(values, (cut, hubs), "node", "t", "v")
+    assert out.agg(F.sum("v")).first()[0] == 5 * 2.0 * n / 3
+    # rows of the join in the largest task, where tasks are the buckets of (source, part)
+    tasks = cut.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert tasks < 0.3 * n
