@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from dockflow.functions import keys as K
 from dockflow.operators import numbering
+from dockflow.sources.scratch import staged
 from dockflow.operators.flow import ride_ends
 
 # fixed values: calendar order of weekdays
@@ -84,19 +85,56 @@ def station_totals(rides: DataFrame, days: int) -> DataFrame:
     )
 
 
+def value_at_rank(values: DataFrame, column: str, rank: int, bins: int = 4096) -> float | None:
+    """The value with ``rank`` (from 0) smaller ones before it, by refining a histogram; nulls and NaN are left out.
+
+    Each pass counts the values of the range that is left in ``bins`` bins and goes on inside the bin
+    with the rank, between the smallest and the largest value there, until the two are equal. A pass moves one
+    row per bin, however many distinct values there are. ``values`` is read once per pass.
+    """
+    x = values.select(F.col(column).cast("double").alias("x")).filter("x is not null and not isnan(x)")
+    low, high = x.agg(F.min("x"), F.max("x")).first()
+    if low is None:
+        return None
+    while low < high:
+        # halves, so that the width of the whole range of doubles is finite
+        place = (F.col("x") / 2 - low / 2) / (high / 2 - low / 2) * bins
+        inside = x.filter(F.col("x").between(low, high))
+        counted = inside.groupBy(F.least(F.floor(place), F.lit(bins - 1)).alias("bin")).agg(
+            F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high")
+        )
+        for r in sorted(counted.collect(), key=lambda r: r["bin"]):
+            if rank < r["n"]:
+                low, high = r["low"], r["high"]
+                break
+            rank -= r["n"]
+        else:
+            return None
+    return low
+
+
+def exact_median(values: DataFrame, column: str) -> float | None:
+    """Median of a column, the mean of the two middle values where their number is even."""
+    n = values.filter(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double"))).count()
+    if not n:
+        return None
+    low = value_at_rank(values, column, (n - 1) // 2)
+    return low if n % 2 else (low + value_at_rank(values, column, n // 2)) / 2
+
+
 def station_stats(
     totals: DataFrame, above: Sequence[int] = (1000, 6000), extreme: int = 200
 ) -> DataFrame:
     """Spread of station totals and counts of stations beyond thresholds.
 
-    The exact median keeps one entry per distinct total. Distinct totals add up to at most the
-    number of rides R, so there are at most sqrt(2 R) of them.
+    The totals are written once; the exact median comes from passes over them that never gather values.
     """
+    totals = staged(totals, "totals")
     out, net = F.col("total_outflow"), F.col("net_flow")
     return totals.agg(
         F.count("*").alias("stations"),
         F.avg(out).alias("mean_outflow"),
-        F.median(out).alias("median_outflow"),
+        F.lit(exact_median(totals, "total_outflow")).cast("double").alias("median_outflow"),
         F.max(out).alias("max_outflow"),
         F.min(out).alias("min_outflow"),
         *[F.count_if(out > limit).alias(f"outflow_over_{limit}") for limit in above],
@@ -123,20 +161,17 @@ def histogram(
 
     The range is ``low``..``high``; where ``at_most`` or ``at_least`` is given instead, the
     lower or upper end is that value or the smallest or largest value, whichever is further
-    out. A value on the upper end belongs to the last bin.
+    out. A value on the upper end belongs to the last bin. The column is written once, its range is one row read
+    from there, and bins are counted before anything is shuffled, so it may hold any number of distinct values.
     """
     lower = F.lit(low) if low is not None else F.least(F.min("_x"), F.lit(at_most))
     upper = F.lit(high) if high is not None else F.greatest(F.max("_x"), F.lit(at_least))
-    # counted per value first; the distinct values then meet the range they span in one row, so
-    # the input is read once. Meant for counts, of which there are few distinct ones.
-    per_value = df.select(F.col(column).cast("double").alias("_x")).dropna().groupBy("_x").agg(F.count("*").alias("_n"))
-    ranged = per_value.agg(
-        lower.cast("double").alias("_lo"), upper.cast("double").alias("_hi"),
-        F.collect_list(F.struct("_x", "_n")).alias("_values"),
-    ).select("_lo", "_hi", F.inline("_values"))
-    number = F.least(F.width_bucket("_x", "_lo", "_hi", F.lit(bins)), F.lit(bins))
-    counted = ranged.groupBy((number - 1).alias("bin"), "_lo", "_hi").agg(F.sum("_n").alias("count"))
-    edge = lambda i: F.col("_lo") + (F.col("_hi") - F.col("_lo")) / bins * i
+    values = staged(df.select(F.col(column).cast("double").alias("_x")).dropna(), "values")
+    lo, hi = values.agg(lower.cast("double"), upper.cast("double")).first()
+    lo, hi = F.lit(lo).cast("double"), F.lit(hi).cast("double")
+    number = F.least(F.width_bucket("_x", lo, hi, F.lit(bins)), F.lit(bins))
+    counted = values.groupBy((number - 1).alias("bin")).agg(F.count("*").alias("count"))
+    edge = lambda i: lo + (hi - lo) / bins * i
     return counted.select(
         "bin", edge(F.col("bin")).alias("bin_start"), edge(F.col("bin") + 1).alias("bin_end"), "count"
     )

@@ -235,26 +235,25 @@ def hourly_features_train(spark, sf_dir):
     return _tidy(_doubles(_train_features(spark, sf_dir), features.TRAIN_COLUMNS))
 
 
-def _train_packed(spark, sf_dir):
+def _packed(found):
     return sequences.pack_sequences(
-        _train_features(spark, sf_dir),
-        ["site_guid", "city_guid"],
-        "dt",
-        features.TRAIN_COLUMNS,
-        TRAIN_STEPS,
-        "hourly_features",
+        found, ["site_guid", "city_guid"], "dt", features.TRAIN_COLUMNS, TRAIN_STEPS, "hourly_features"
     )
 
 
-def _packed_sites(spark, sf_dir):
+def _train_packed(spark, sf_dir):
+    return _packed(_train_features(spark, sf_dir))
+
+
+def _packed_sites(found):
     """Sites with a whole training sequence, by a count of their hours instead of the sequences."""
-    hours = _train_features(spark, sf_dir).groupBy("site_guid", "city_guid").agg(F.count("*").alias("n"))
+    hours = found.groupBy("site_guid", "city_guid").agg(F.count("*").alias("n"))
     return hours.filter(F.col("n") >= TRAIN_STEPS).drop("n")
 
 
-def _static(spark, sf_dir):
+def _static(spark, sf_dir, found=None):
     return features.static_features(
-        _packed_sites(spark, sf_dir),
+        _packed_sites(_train_features(spark, sf_dir) if found is None else found),
         td.orders(spark, sf_dir),
         features.city_codes(td.known_cities(spark, sf_dir)),
         td.weather_workday(spark, sf_dir),
@@ -298,10 +297,12 @@ def packed_sequences(spark, sf_dir):
 
 @query
 def sequence_join(spark, sf_dir):
+    # written once by site: the sites, their days and their sequences come from it, and both sides of the join lie alike
+    found = scratch.bucketed(_train_features(spark, sf_dir), "features", ["site_guid"])
     daily = sequences.pack_sequences(
-        _static(spark, sf_dir), ["site_guid"], "pt", features.DAILY_COLUMNS, DAILY_STEPS, "static_features"
+        _static(spark, sf_dir, found), ["site_guid"], "pt", features.DAILY_COLUMNS, DAILY_STEPS, "static_features"
     )
-    return _tidy(sequences.join_sequences(_train_packed(spark, sf_dir), daily))
+    return _tidy(sequences.join_sequences(_packed(found), daily))
 
 
 def _decoded(spark, sf_dir):

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import codecs
 import csv
 import re
-from collections.abc import Mapping
+import zlib
+from collections.abc import Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,26 +37,93 @@ def _csv(spark: SparkSession, paths, schema: T.StructType, skip_unreadable: bool
     return reader.csv(paths).withColumn(SOURCE_FILE, F.col("_metadata.file_name"))
 
 
-def csv_headers(spark: SparkSession, paths: str | list[str]) -> dict[str, list[str]]:
-    """Header of every readable file, by path, from one pass; files without a first line are absent."""
-    lines = spark.read.option("ignoreCorruptFiles", True).text(paths).select(
-        F.col("_metadata.file_path").alias("file"), "value",
-        F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"),
-    )
-    first = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("line"))
-    return {r.file: next(csv.reader([r.line])) for r in first.collect() if r.line}
+def csv_headers(spark: SparkSession, paths: str | list[str], at_once: int = 16) -> dict[str, list[str]]:
+    """Header of every readable file, by path; files without a first line are absent.
 
+    One small job per file, ``at_once`` of them side by side, each a limit of one row that stops its task
+    after the first block of the file, so that beginnings are all that is read.
+    """
+    reader = spark.read.option("ignoreCorruptFiles", True)
 
-def unreadable_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Files of ``paths`` that no line could be read from: rows ``(file)``.
+    def header(file: str) -> tuple[str, list[str] | None]:
+        line = reader.text(file).first()
+        return file, next(csv.reader([line["value"]])) if line and line["value"] else None
 
-    Files that break off later give their lines up to there; :func:`unreadable_counts` counts those.
-    """
+    files = sorted(reader.text(paths).inputFiles())
+    with ThreadPoolExecutor(at_once) as pool:
+        return {file: found for file, found in pool.map(header, files) if found}
+
+
+def unreadable_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Files of ``paths`` that no line could be read from: rows ``(file)``; see :func:`damaged_files`."""
     listed = {_plain(f) for f in spark.read.text(paths).inputFiles()}
     read = {_plain(f) for f in csv_headers(spark, paths)}
     return spark.createDataFrame([(f,) for f in sorted(listed - read)], "file string")
 
 
+def damaged_files(spark: SparkSession, paths: str | list[str], chunk: int = 1 << 20) -> DataFrame:
+    """CSV files of ``paths`` that are not whole: rows ``(file, reason)``.
+
+    Reasons: ``empty``; ``broken gzip`` (data that does not unpack, or ends before its end mark); ``not UTF-8``;
+    ``cut off`` (no line end at the end, and the last record has another number of fields than the
+    header). Every file is probed where it lies, unpacked piece by piece; a task holds one packed file, of 2 GB at
+    most (a larger one fails the probe by name). Whole files without a last line end are not listed.
+    """
+    found = spark.read.format("binaryFile").load(paths)
+    plain = F.regexp_replace("path", "^file:/+", "/").alias("path")
+    content = found.select(plain, "content")
+    listed = spark.createDataFrame([(_plain(f),) for f in found.inputFiles()], "file string")
+    # a scan has no rows for files without bytes
+    empty = listed.join(found.select(plain), F.col("file") == F.col("path"), "left_anti").select("file", F.lit("empty").alias("reason"))
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, data in zip(batch.column("path"), batch.column("content")):
+                reason = _damage(path.as_py(), memoryview(data.as_buffer()), chunk)
+                if reason:
+                    yield pa.RecordBatch.from_pydict({"file": [path.as_py()], "reason": [reason]})
+
+    return content.mapInArrow(probe, "file string, reason string").union(empty)
+
+
+def _pieces(path: str, data: memoryview, chunk: int) -> Iterator[bytes]:
+    """Unpacked content; raises ``zlib.error`` where a gzip file breaks or ends early."""
+    if not path.endswith((".gz", ".gzip")):
+        for at in range(0, len(data), chunk):
+            yield bytes(data[at : at + chunk])
+        return
+    at = 0
+    while at < len(data):
+        member = zlib.decompressobj(31)
+        while not member.eof:
+            if at >= len(data):
+                raise zlib.error("ends early")
+            part = data[at : at + chunk]
+            at += len(part)
+            yield member.decompress(part)
+        at -= len(member.unused_data)
+
+
+def _damage(path: str, data: memoryview, chunk: int) -> str | None:
+    text, header, last, size = codecs.getincrementaldecoder("utf-8")(), None, "", 0
+    try:
+        for piece in _pieces(path, data, chunk):
+            size += len(piece)
+            last += text.decode(piece)
+            if header is None and "\n" in last:
+                header = next(csv.reader([last[: last.index("\n")]]))
+            last = last[last.rfind("\n") + 1 :]
+        text.decode(b"", final=True)
+    except zlib.error:
+        return "broken gzip"
+    except UnicodeDecodeError:
+        return "not UTF-8"
+    if not size:
+        return "empty"
+    fields = next(csv.reader([last])) if last else None
+    return "cut off" if fields and header is not None and len(fields) != len(header) else None
+
+
 def _plain(uri: str) -> str:
     return re.sub("^file:/+", "/", unquote(uri))
 
@@ -67,8 +138,8 @@ def read_csv_files(
     """Stack CSV files as text columns plus the file name and the unparsed record, if any.
 
     Columns are matched by name: files with equal headers share one scan, the scans are stacked
-    and absent columns are null. Headers are read in one pass over the files. ``same_header``
-    saves that pass where all files are known to have one header; a file with another one
+    and absent columns are null. Headers are read from the beginnings of the files. ``same_header``
+    saves that where all files are known to have one header; a file with another one
     then fails the read. Files that cannot be read are skipped (see :func:`unreadable_files`)
     unless ``skip_unreadable`` is off.
     """

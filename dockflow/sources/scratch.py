@@ -9,6 +9,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 from dockflow.session import ensure_checkpoint_dir
+from dockflow.sources.files import delete
 
 _scopes: list[list[str]] = []
 
@@ -49,12 +50,6 @@ def bucketed(df: DataFrame, name: str, columns: Sequence[str], buckets: int | No
     return out
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    """Delete a path on whatever file system holds it; nothing happens where it is absent."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Delete the scratch tables made inside the block when it ends.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import date
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockflow.functions.keys import day_text
+from dockflow.sources import files
+from dockflow.sources.scratch import scratch_scope, staged
 
 
 def create_day_table(
@@ -41,23 +44,83 @@ def overwrite_day(
 ) -> None:
     """Replace one day partition below ``path``; the other days stay.
 
-    Safe to repeat: also an empty result replaces what an earlier attempt left.
+    The rows are written beside the day, in a folder that readers skip, and then take its place by
+    renaming: a job that fails leaves the old day as it was, and a stop between the two renames is put right
+    by the next write of that day. Also an empty result replaces what an earlier attempt left. Where
+    no reader may miss the day even between two renames, use a table and :func:`overwrite_table_day`.
     """
-    rows = _sorted(df.drop(day_column), order)
-    rows.write.mode("overwrite").parquet(f"{path}/{day_column}={day_text(day)}")
+    spark = df.sparkSession
+    name = f"{day_column}={day_text(day)}"
+    target, beside = f"{path}/{name}", f"{path}/_staging/{name}"
+    _settle(spark, target, beside)
+    try:
+        _sorted(df.drop(day_column), order).write.parquet(f"{beside}/new")
+        if files.exists(spark, target):
+            files.rename(spark, target, f"{beside}/old")
+        files.rename(spark, f"{beside}/new", target)
+    finally:
+        _settle(spark, target, beside)
+
+
+def _settle(spark: SparkSession, target: str, beside: str) -> None:
+    """Undo an attempt that moved the old day away and then stopped; clear what an attempt left."""
+    if not files.exists(spark, target) and files.exists(spark, f"{beside}/old"):
+        files.rename(spark, f"{beside}/old", target)
+    files.delete(spark, beside)
 
 
 def overwrite_table_day(
     df: DataFrame, day: date | str, table: str, day_column: str = "pt", order: Sequence[str] = ()
 ) -> None:
-    """Replace one day partition of a declared table, matching columns by name."""
+    """Replace one day partition of a declared table, matching columns by name.
+
+    Tables of files get a new version of the day in a folder of its own, and the catalog entry of the
+    partition moves to it in one step: readers see the old day or the new one, and a job that fails
+    leaves the old one. The version before stays for queries that still read it, until the next
+    overwrite of that day. Other formats commit by themselves.
+    """
     spark = df.sparkSession
     columns = [c for c in spark.table(table).columns if c != day_column]
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION (`{day_column}` = {{day}}) SELECT * FROM {{rows}}",
-        day=day_text(day),
-        rows=_sorted(df.select(*columns), order),
-    )
+    rows = _sorted(df.select(*columns), order)
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    provider = (described.get("Provider") or "").lower()
+    if provider not in ("parquet", "orc", "json", "csv"):
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION (`{day_column}` = {{day}}) SELECT * FROM {{rows}}",
+            day=day_text(day),
+            rows=rows,
+        )
+        return
+    versions = f"{described['Location']}/_days/{day_column}={day_text(day)}"
+    new = uuid.uuid4().hex
+    kinds = {f.name: f.dataType for f in spark.table(table).schema.fields}
+    typed = rows.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) for c in columns])
+    typed.write.format(provider).save(f"{versions}/{new}")
+    part = f"PARTITION (`{day_column}` = '{day_text(day)}')"
+    known = spark.sql(f"SHOW PARTITIONS {table} {part}").count() > 0
+    before = ""
+    if known:
+        details = spark.sql(f"DESCRIBE EXTENDED {table} {part}").collect()
+        before = next(r.data_type for r in details if r.col_name == "Location")
+        spark.sql(f"ALTER TABLE {table} {part} SET LOCATION '{versions}/{new}'")
+    else:
+        spark.sql(f"ALTER TABLE {table} ADD {part} LOCATION '{versions}/{new}'")
+    for name in files.children(spark, versions):
+        if name != new and not before.endswith(f"/{name}"):
+            files.delete(spark, f"{versions}/{name}")
+
+
+def write_sorted(df: DataFrame, path: str, order: Sequence[str], rows_per_file: int = 5_000_000) -> None:
+    """Files that follow each other in ``order`` and are sorted inside, so that a range of keys is in few of them.
+
+    Bounds of the files are sampled from the rows, which are written to a scratch table first so that the
+    plan before runs once; a key with very many rows spans files if ``order`` has a further column.
+    """
+    with scratch_scope(df.sparkSession):
+        rows = staged(df, "unsorted")
+        count = max(1, -(-rows.count() // rows_per_file))
+        parts = rows.repartitionByRange(count, *order).sortWithinPartitions(*order)
+        parts.write.mode("overwrite").parquet(path)
 
 
 def checked(df: DataFrame, schema: T.StructType, day_column: str = "pt") -> DataFrame:

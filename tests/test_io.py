@@ -183,3 +183,124 @@ def test_checkpoint_folder_comes_from_the_session(spark):
     from dockflow.session import ensure_checkpoint_dir
 
     assert spark.conf.get("spark.checkpoint.dir") in ensure_checkpoint_dir(spark)
+
+
+def _bytes_read(log_dir) -> int:
+    import json
+
+    total = 0
+    for name in os.listdir(log_dir):
+        with open(log_dir / name) as lines:
+            for line in lines:
+                event = json.loads(line)
+                if event["Event"] == "SparkListenerTaskEnd":
+                    total += (event.get("Task Metrics") or {}).get("Input Metrics", {}).get("Bytes Read", 0)
+    return total
+
+
+def test_headers_read_the_beginning_of_files_only(spark, tmp_path):
+    """Bytes read by the scan's tasks, from the event log of a session of its own."""
+    import subprocess
+    import sys
+
+    line = "x" * 98 + ",1\n"
+    for i in range(3):
+        _write(tmp_path / f"big{i}.csv", f"a{i},b\n" + line * 200_000)  # 20 MB each
+    (tmp_path / "log").mkdir()
+    code = f"""
+from dockflow.session import build_session
+from dockflow.sources import readers
+spark = build_session("headers", "local[2]", {{"spark.ui.enabled": "false", "spark.eventLog.enabled": "true",
+    "spark.eventLog.dir": "file://{tmp_path}/log", "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"}})
+found = readers.csv_headers(spark, "{tmp_path}/*.csv")
+assert sorted(found.values()) == [["a0", "b"], ["a1", "b"], ["a2", "b"]], found
+spark.stop()
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(os.path.dirname(__file__)), capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert _bytes_read(tmp_path / "log") < 5_000_000
+
+
+def test_damaged_files_are_listed_with_their_reason(spark, tmp_path):
+    good = "a,b\n" + "".join(f"{i},ü{i}\n" for i in range(20_000))
+    _write(tmp_path / "good.csv", good)
+    _write(tmp_path / "noend.csv", good.rstrip("\n"))
+    _write(tmp_path / "cut.csv", good[: good.rindex(",")])
+    _write(tmp_path / "empty.csv", "")
+    (tmp_path / "latin.csv").write_bytes("a,b\n1,é\n".encode("latin-1"))
+    packed = gzip.compress(good.encode())
+    (tmp_path / "good.csv.gz").write_bytes(packed + gzip.compress(b"7,8\n"))
+    (tmp_path / "tail.csv.gz").write_bytes(packed[:-9])
+    (tmp_path / "noise.csv.gz").write_bytes(packed[:500] + bytes(300) + packed[800:])
+    got = {r.file.rpartition("/")[2]: r.reason for r in readers.damaged_files(spark, f"{tmp_path}/*.csv*", 4096).collect()}
+    assert got == {
+        "cut.csv": "cut off", "empty.csv": "empty", "latin.csv": "not UTF-8", "tail.csv.gz": "broken gzip",
+        "noise.csv.gz": "broken gzip",
+    }
+
+
+def _failing(spark):
+    def fail(frames):
+        for frame in frames:
+            yield frame
+        raise ValueError("half-way")
+
+    return spark.range(100, numPartitions=1).mapInPandas(fail, "id long").withColumnRenamed("id", "v")
+
+
+def test_a_failed_overwrite_keeps_the_old_day(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    old = frame([(1,), (2,)], "v long")
+    sinks.overwrite_day(old, "20240101", path)
+    with pytest.raises(Exception, match="half-way"):
+        sinks.overwrite_day(_failing(spark), "20240101", path)
+    assert _rows(spark.read.parquet(path).select("v")) == [(1,), (2,)]
+    # a stop between the two renames
+    os.makedirs(tmp_path / "t" / "_staging" / "pt=20240101")
+    os.rename(tmp_path / "t" / "pt=20240101", tmp_path / "t" / "_staging" / "pt=20240101" / "old")
+    with pytest.raises(Exception, match="half-way"):
+        sinks.overwrite_day(_failing(spark), "20240101", path)
+    assert _rows(spark.read.parquet(path).select("v")) == [(1,), (2,)]
+    sinks.overwrite_day(old.limit(0), "20240101", path)
+    assert spark.read.schema("v long").parquet(path).count() == 0
+    assert os.listdir(tmp_path / "t" / "_staging") == []
+
+
+def test_a_failed_overwrite_keeps_the_old_day_of_a_table(spark, frame):
+    spark.sql("DROP TABLE IF EXISTS days_t")
+    sinks.create_day_table(spark, "days_t", [("v", "bigint", "value")])
+    sinks.overwrite_table_day(frame([(1,), (2,)], "v int"), "20240101", "days_t")
+    sinks.overwrite_table_day(frame([(9,)], "v int"), "20240102", "days_t")
+    with pytest.raises(Exception, match="half-way"):
+        sinks.overwrite_table_day(_failing(spark), "20240101", "days_t")
+    assert _rows(spark.table("days_t")) == [(1, "20240101"), (2, "20240101"), (9, "20240102")]
+    running = spark.table("days_t").filter("pt = '20240101'")
+    plan = running._jdf.queryExecution().executedPlan()  # a reader that has listed its files
+    assert plan is not None
+    sinks.overwrite_table_day(frame([(3,)], "v int"), "20240101", "days_t")
+    assert _rows(running) == [(1, "20240101"), (2, "20240101")]
+    for value in (4, 5):
+        sinks.overwrite_table_day(frame([(value,)], "v int"), "20240101", "days_t")
+    assert _rows(spark.table("days_t").filter("pt = '20240101'")) == [(5, "20240101")]
+    sinks.overwrite_table_day(frame([(5,)], "v int").limit(0), "20240101", "days_t")
+    assert _rows(spark.table("days_t")) == [(9, "20240102")]
+    spark.sql("DROP TABLE days_t")
+
+
+def test_sorted_files_do_not_overlap(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    df = spark.range(20_000).select(
+        F.concat(F.lit("s"), F.lpad((F.col("id") * 7919 % 50).cast("string"), 2, "0")).alias("site"), F.col("id").alias("hour")
+    )
+    sinks.write_sorted(df.repartition(7), str(tmp_path / "s"), ["site", "hour"], rows_per_file=2000)
+    ranges = []
+    for name in os.listdir(tmp_path / "s"):
+        if name.endswith(".parquet"):
+            meta = pq.ParquetFile(tmp_path / "s" / name).metadata
+            for g in range(meta.num_row_groups):
+                stats = meta.row_group(g).column(0).statistics
+                ranges.append((stats.min, stats.max))
+    assert len(ranges) >= 8
+    assert sum(lo <= "s17" <= hi for lo, hi in ranges) <= 2  # row groups left for one station
+    assert spark.read.parquet(str(tmp_path / "s")).exceptAll(df).count() == 0

@@ -153,3 +153,30 @@ def test_preview_puts_nulls_last(frame):
     assert [r.k for r in profile.preview(df, ["k"]).collect()] == ["a", "b", None]
     totals = frame([("b", 2), ("a", 2), ("c", 3)], "station_id string, total_outflow long")
     assert [r.station_id for r in profile.by_outflow(totals).collect()] == ["c", "a", "b"]
+
+
+def test_median_by_refinement(spark, frame):
+    import random
+
+    random.seed(4)
+    cases = [
+        [1], [1, 2], [5] * 9, list(range(1001)), [random.gauss(0, 1) for _ in range(3000)],
+        [1e308, -1e308, 3.0, 3.0000000001], [random.random() ** 40 for _ in range(2000)] + [1e300], [None, float("nan"), 2.0, 8.0],
+    ]
+    for values in cases:
+        df = frame([(None if v is None else float(v),) for v in values], "x double")
+        known = [v for v in values if v is not None and v == v]
+        assert profile.exact_median(df, "x") == float(np.median(known))
+    assert profile.exact_median(df.limit(0), "x") is None
+    assert profile.value_at_rank(frame([(float(i),) for i in range(5000)], "x double"), "x", 4321, bins=3) == 4321
+
+
+def test_histogram_of_a_continuous_column(spark):
+    df = spark.range(20_000).select((F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 1000.0).alias("x"))
+    got = profile.histogram(df, "x", 40, low=0, at_least=10)
+    assert "collect_list" not in got._jdf.queryExecution().optimizedPlan().toString()
+    values = np.array([r.x for r in df.collect()])
+    counts, edges = np.histogram(values, 40, (0, values.max()))
+    found = {r.bin: r for r in got.collect()}
+    assert [found[i]["count"] if i in found else 0 for i in range(40)] == counts.tolist()
+    assert found[7].bin_start == pytest.approx(edges[7])
