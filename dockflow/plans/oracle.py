@@ -541,6 +541,33 @@ def _khop(columns: dict[str, str]) -> str:
     return f"SELECT p.station_id, p.hour, CAST(p.outflow AS DOUBLE) AS outflow, {shown} FROM panel p {joins}"
 
 
+def _robust_lag(rounds: int) -> str:
+    """Weighted regressions per hour, each weighted by the errors of the one before."""
+    parts = [
+        "train AS MATERIALIZED (SELECT * FROM ends WHERE sample_idx < 14)",
+        """shares AS (SELECT 2.0 / greatest(1, count(*) FILTER (y >= 5)) AS p,
+          1.0 / greatest(1, count(*) FILTER (y < 5)) AS n FROM train)""",
+        "w0 AS MATERIALIZED (SELECT hour, x, y, CASE WHEN y >= 5 THEN p ELSE n END AS w FROM train, shares)",
+    ]
+    for k in range(rounds):
+        parts.append(
+            f"""f{k} AS MATERIALIZED (SELECT hour, slope, (swy - slope * swx) / sw AS intercept FROM (
+              SELECT *, (sw * swxy - swx * swy) / (sw * swxx - swx * swx) AS slope FROM (
+                SELECT hour, sum(w) AS sw, sum(w * x) AS swx, sum(w * y) AS swy, sum(w * x * x) AS swxx,
+                  sum(w * x * y) AS swxy FROM w{k} GROUP BY 1)))"""
+        )
+        parts.append(
+            f"""w{k + 1} AS MATERIALIZED (SELECT hour, x, y, CASE WHEN y >= 5 THEN p * least(1, 5 / greatest(e, 5))
+              ELSE n / greatest(e, 1) END AS w
+              FROM (SELECT t.*, abs(y - slope * x - intercept) AS e FROM train t JOIN f{k} USING (hour)), shares)"""
+        )
+    chain = ",\n".join(parts)
+    return f"""SELECT * FROM (WITH {chain}
+      SELECT t.station_id, CAST(t.sample_idx AS BIGINT) AS sample_idx, CAST(t.hour AS BIGINT) AS hour,
+        CAST(t.y AS DOUBLE) AS y_true, {_r("f.slope * t.x + f.intercept", "y_pred", 5)}
+      FROM ends t JOIN f{rounds - 1} f USING (hour) WHERE t.sample_idx >= 14)"""
+
+
 ORACLE: dict[str, str] = {
     "hourly_outflow": _with("SELECT * FROM outflow", "outflow"),
     "hourly_inflow": _with("SELECT * FROM inflow", "inflow"),
@@ -714,6 +741,7 @@ ORACLE: dict[str, str] = {
           WHERE t.sample_idx >= 14""",
         "ends",
     ),
+    "robust_lag_forecast": _with(_robust_lag(4), "ends"),
     "trend_seasonal": _with(
         f"""SELECT a.station_id, {_big("sample_idx")}, CAST(a.step AS BIGINT) AS step,
             any_value(a.v) AS value, {_r("sum(b.v) / 49", "trend")},

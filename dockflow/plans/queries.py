@@ -532,6 +532,33 @@ def linear_forecast(spark, sf_dir):
     return _tidy(both.select("station_id", "sample_idx", "hour", F.col("v.y").alias("y_true"), "v.y_pred"))
 
 
+def _fitted_forecast(spark, sf_dir, x, steps, kernel, **how):
+    """Fitted to the peak-weighted loss on the first samples of every station, scored on the others."""
+    ready = scratch.staged(_outflow_samples(spark, sf_dir).select("station_id", "sample_idx", x.alias("x"), "y"), "samples")
+    train = F.col("sample_idx") < TRAIN_SAMPLES
+    scorer = forecast.decomposed_scorer(forecast.fit_decomposed(ready.filter(train), kernel=kernel, **how), kernel)
+    test = ready.filter(~train).withColumn("id", F.concat_ws("|", "station_id", "sample_idx"))
+    encoded = test.withColumn("steps", F.transform("x", lambda v: F.array(v)))
+    scored = forecast.score_sites(encoded, lambda: scorer, steps, 1, targets=("y_pred",), key="id")
+    both = test.join(scored, "id").select(
+        "station_id", "sample_idx", F.posexplode(F.arrays_zip("y", "y_pred")).alias("hour", "v")
+    )
+    return both.select("station_id", "sample_idx", "hour", F.col("v.y").alias("y_true"), F.col("v.y_pred").alias("y_pred"))
+
+
+@query
+def weekly_forecast(spark, sf_dir):
+    """A week of departures, in a seasonal and a trend part, to those of the day after."""
+    return _tidy(_fitted_forecast(spark, sf_dir, F.col("x"), 7 * 24, 49), 4)
+
+
+@query
+def robust_lag_forecast(spark, sf_dir):
+    """The same loss on the last value alone."""
+    last = F.array(F.element_at("x", -1))
+    return _tidy(_fitted_forecast(spark, sf_dir, last, 1, 1, ridge=0.0, rounds=4), 5)
+
+
 def _scored(spark, sf_dir):
     steps = 7 * 24
     encoded = sequences.pack_sequences(

@@ -181,3 +181,49 @@ def test_channels(frame):
     row = df.select(V.channel("x", 1), V.channels("x", 0, 2), V.from_json(V.to_json("x"))).first()
     assert row[0] == [2.0, 5.0] and row[1] == [[1.0, 2.0], [4.0, 5.0]]
     assert row[2] == [[1.0, 2.0, 3.0], [4.0, 5.0, 6.0]]
+
+
+def test_decomposed_fit_equals_a_plain_one(spark):
+    rng = np.random.default_rng(3)
+    n, steps, horizon, kernel = 120, 12, 3, 5
+    x = rng.poisson(4, (n, steps)).astype(float)
+    y = x[:, -horizon:] * 0.7 + x.mean(axis=1, keepdims=True) + rng.standard_t(2, (n, horizon))
+    df = spark.createDataFrame([(a.tolist(), b.tolist()) for a, b in zip(x, y)], "x array<double>, y array<double>")
+    model = forecast.fit_decomposed(df.repartition(3), horizon, kernel, rounds=5)
+    padded = np.c_[np.repeat(x[:, :1], 2, axis=1), x, np.repeat(x[:, -1:], 2, axis=1)]
+    trend = np.stack([padded[:, i : i + kernel].mean(axis=1) for i in range(steps)], axis=1)
+    z = np.c_[x - trend, trend, np.ones(n)]
+    shares = (2 / (y >= 5).sum(), 1 / (y < 5).sum())
+    want = np.zeros((n, horizon))
+    for h in range(horizon):
+        w = np.where(y[:, h] >= 5, *shares)
+        for _ in range(5):
+            gram = z.T @ (w[:, None] * z)
+            penalty = np.r_[np.full(2 * steps, 1e-6 * np.trace(gram) / len(gram)), 0]
+            want[:, h] = z @ np.linalg.solve(gram + np.diag(penalty), z.T @ (w * y[:, h]))
+            e = np.abs(y[:, h] - want[:, h])
+            w = np.where(y[:, h] >= 5, shares[0] * np.minimum(1, 5 / np.maximum(e, 5)), shares[1] / np.maximum(e, 1))
+    got = forecast.decomposed_scorer(model, kernel)(x[:, :, None].astype(np.float32))[:, 0, :]
+    np.testing.assert_allclose(got, want, rtol=1e-6, atol=1e-6)
+    assert {(r.block, r["count"]) for r in model.groupBy("block").count().collect()} == {
+        ("seasonal", 36), ("trend", 36), ("offset", 3),
+    }
+    with pytest.raises(ValueError):
+        forecast.fit_decomposed(df.limit(0))
+
+
+def test_reweighting_lowers_the_loss(spark):
+    rng = np.random.default_rng(5)
+    x = rng.poisson(6, (400, 1)).astype(float)
+    y = 1.5 * x + 1 + np.where(rng.random((400, 1)) < 0.1, 60, 0) * rng.random((400, 1))  # a tenth is far off
+    df = spark.createDataFrame([(a.tolist(), b.tolist()) for a, b in zip(x, y)], "x array<double>, y array<double>")
+
+    def loss(rounds: int) -> float:
+        e = y - forecast.decomposed_scorer(forecast.fit_decomposed(df, 1, 1, rounds=rounds), 1)(x[:, :, None])[:, 0, :]
+        peak, size = y >= 5, np.abs(e)
+        huber = np.where(size <= 5, size**2 / 2, 5 * (size - 2.5))
+        return 2 * huber[peak].mean() + size[~peak].mean()
+
+    assert loss(8) < 0.95 * loss(1)
+    slope = forecast.fit_decomposed(df, 1, 1, rounds=8).filter("block = 'trend'").first().weight
+    assert slope == pytest.approx(1.5, abs=0.1)
