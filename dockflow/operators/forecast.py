@@ -276,25 +276,22 @@ def score_sites(
 
     ``make_scorer`` runs once per task (load a model there). Its result maps a batch of shape
     (sites, steps, width) to (sites, targets, h); longer forecasts are cut, shorter ones filled
-    with zeros. Rows flow in Arrow batches of about ``batch_mb`` and are never gathered.
+    with zeros. Rows flow in Arrow batches, are scored in parts of about ``batch_mb`` and never gathered.
     """
-    spark, limit = decoded.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
     rows = max(1, int(batch_mb * 1e6 / (4 * steps * width)))
-    if not 0 < int(spark.conf.get(limit)) <= rows:
-        spark.conf.set(limit, str(rows))
     schema = ", ".join([f"`{key}` string", *[f"`{t}` array<double>" for t in targets]])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         score = make_scorer()
         for batch in batches:
-            if batch.empty:
-                continue
-            x = np.stack(batch["flat"].to_numpy()).reshape(len(batch), steps, width)
-            forecast = score(x)
-            out = {key: batch[key].to_numpy()}
-            for i, target in enumerate(targets):
-                out[target] = list(forecast[:, i, :])
-            yield pd.DataFrame(out)
+            for at in range(0, len(batch), rows):
+                part = batch.iloc[at : at + rows]
+                x = np.stack(part["flat"].to_numpy()).reshape(len(part), steps, width)
+                forecast = score(x)
+                out = {key: part[key].to_numpy()}
+                for i, target in enumerate(targets):
+                    out[target] = list(forecast[:, i, :])
+                yield pd.DataFrame(out)
 
     flat = decoded.select(
         F.col(key).cast("string").alias(key), F.flatten(column).cast("array<float>").alias("flat")
