@@ -249,11 +249,23 @@ def without_copies(
     """The rows of ``df`` of which one per component stays: that with the smallest key.
 
     If several rows have that key one of them stays; rows with a null key stay (one of them) only
-    where their component has no other key.
+    where their component has no other key. Who stays is found on keys and fingerprints; the rows meet the
+    keys that stay once, by a broadcast of those if they are few. Only rows whose key others share are
+    fingerprinted again and compared.
     """
     row = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
     row = row.select("_row", F.col(f"_row.`{key}`").alias("_k"), F.col(f"_row.`{text}`").alias("_t"))
-    prints = with_fingerprints(row, "_t", width)
+    prints = written(with_fingerprints(row.select("_k", "_t"), "_t", width).select("_k", "fp"), "prints")
     classes = written(prints.groupBy("fp").agg(F.min("_k").alias("least")), "classes")
-    kept = prints.join(_named(classes, bits), "fp").where(F.col("_k").eqNullSafe(F.col("component_id")))
-    return kept.dropDuplicates(["_k", "root"]).select("_row.*")
+    first = prints.join(_named(classes, bits), "fp").where(F.col("_k").eqNullSafe(F.col("component_id")))
+    first = first.groupBy("root").agg(F.min("_k").alias("_k1"), F.min("fp").alias("_fp"))
+    shared = prints.groupBy("_k").agg((F.count("*") > 1).alias("_shared")).withColumnRenamed("_k", "_k2")
+    first = first.join(shared, F.col("_k1").eqNullSafe(F.col("_k2"))).select("root", "_k1", "_fp", "_shared")
+    first = written(first, "first")
+    alone = row.join(first.where("not _shared"), F.col("_k").eqNullSafe(F.col("_k1")), "left_semi").select("_row.*")
+    several = first.where("_shared")
+    if several.isEmpty():
+        return alone
+    again = row.join(several.select("_k1").distinct(), F.col("_k").eqNullSafe(F.col("_k1")), "left_semi")
+    again = with_fingerprints(again, "_t", width).join(several, F.col("_k").eqNullSafe(F.col("_k1")) & (F.col("fp") == F.col("_fp")))
+    return alone.union(again.dropDuplicates(["root"]).select("_row.*"))
