@@ -156,6 +156,18 @@ def base_secrets(text: str | None) -> list[tuple[int, int, int]]:
     )
 
 
+def tagged_spans(tags: list[int], places: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges of secrets: 0 begins one, 1 goes on with it or begins one behind 2."""
+    out, before = [], 2
+    for tag, (a, b) in zip(tags, places):
+        if tag == 0 or tag == 1 and before == 2:
+            out.append([a, b])
+        elif tag == 1:
+            out[-1][1] = b
+        before = tag
+    return [(a, b) for a, b in out]
+
+
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
 

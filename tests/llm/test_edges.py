@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import random
+from collections import defaultdict
 
 import numpy as np
 import pytest
@@ -262,15 +263,43 @@ def test_field_learns_and_generalises():
         else:
             some[10] = str(random.randint(1, 9999))
         lines.append(" ".join(some))
-    samples = [s for t in lines for s in secret_scan.samples_of(t)]
+    samples = [s[1:] for t in lines for s in secret_scan.samples_of(t)]
     field = secret_scan.train(samples)
     new = f"{word()} {word()} password => '{token()}' {word()} in 2019 {word()}"
     assert not secret_scan.base_spans(new)
-    assert [new[a:b] for a, b in secret_scan.field_spans(new, field)] == [new.split("'")[1]]
+    assert [new[a:b] for a, b in secret_scan.field_spans(new, secret_scan.Emitter(field))] == [new.split("'")[1]]
     best = field.decode(field.emissions(samples[0][0]))
     assert best == samples[0][1]
 
 
+@pytest.mark.parametrize("size", [7, 40, 10_000])
+def test_scan_equals_viterbi_over_the_whole_text(size):
+    rng = np.random.default_rng(1)
+    words = ["token", "=", "x1y2z3", "word", "and", "Über", "77", "'", "api_key", "0123456789abcdefABCDEF01", "\n", "e", "，"]
+    for trial in range(60):
+        weights = defaultdict(lambda: rng.standard_normal(3) * 2)
+        moves = rng.standard_normal((3, 3))
+        moves[2, 1] = -20.0 if trial % 2 else moves[2, 1]
+        text = " ".join(rng.choice(words, rng.integers(0, 60)))
+        places = [m.span() for m in secret_scan.TOKEN.finditer(text)]
+        tokens, of_file = [text[a:b] for a, b in places], secret_scan.file_features(text)
+        features = [secret_scan.token_features(tokens, i, of_file) for i in range(len(tokens))]
+        for row in features:
+            for f in row:
+                weights[f] += [0, 0, rng.random() * (trial % 3)]
+        field = secret_scan.Field(dict(weights), moves)
+        found = secret_scan.field_spans(text, secret_scan.Emitter(field), size)
+        assert found == brute.tagged_spans(field.decode(field.emissions(features)), places)
+
+
+def test_pieces_end_at_blanks():
+    for text in ("", "abc", "a b c", "aaaa bbbb\tcccc", " " * 9, LONG[:5000]):
+        found = list(secret_scan.pieces(text, 3))
+        assert "".join(p for _, p in found) == text
+        assert all(text[at : at + len(p)] == p for at, p in found)
+        assert all(p[-1].isspace() for _, p in found[:-1])
+
+
 def test_viterbi_is_the_best_path():
     from itertools import product
 

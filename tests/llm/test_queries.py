@@ -158,6 +158,67 @@ def test_secrets(spark, documents):
         assert set(names) <= set(row["spans"].split(","))
 
 
+def test_secrets_beyond_the_patterns(spark, documents):
+    """The field learns on half of the rows; secrets that no pattern matches are put into the other half."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from dockflow.llm import secret_scan
+
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    field = secret_scan.fit(table.where(F.crc32(F.col("doc_id").cast("string")) % 2 == 0))
+    rest = table.where((F.crc32(F.col("doc_id").cast("string")) % 2 == 1) & F.col("text").isNotNull())
+    rest = [r["text"] for r in rest.orderBy("doc_id").limit(1200).collect()]
+    draw = random.Random(3)
+    signs = "".join(chr(i) for i in range(48, 123) if chr(i).isalnum())
+    some = lambda of, n: "".join(draw.choice(of) for _ in range(n))
+    forms = {
+        "upper hex": lambda: ("", some("0123456789ABCDEF", 40)), "bearer": lambda: ("Authorization: Bearer ", some(signs, 24)),
+        "is": lambda: ("token is ", some(signs, 20)), "arrow": lambda: ("api_key -> ", some(signs, 20)),
+        "pwd": lambda: ("pwd=", some(signs, 12)), "quoted": lambda: ('passphrase = "', some("abcdefghijklmnop", 11)),
+        "prefix": lambda: ("", "ghp_" + some(signs, 36)),
+    }
+    rows = []
+    for i, text in enumerate(rest):
+        name = list(forms)[i % len(forms)]
+        words, (before, value) = text.split(" "), forms[name]()
+        at = draw.randrange(len(words) + 1)
+        head = " ".join([*words[:at], before])
+        new = " ".join([head + value + ('"' if name == "quoted" else ""), *words[at:]])
+        start, end = len(head), len(head) + len(value)
+        if not any(a < end and b > start for a, _, b in brute.base_secrets(new)):
+            rows.append((name, text, new, start, end))
+    frame = spark.createDataFrame(rows, "name string, plain string, text string, a int, b int")
+    found = secret_scan.scan(secret_scan.scan(frame, field), field, "plain", "before").collect()
+    own = lambda spans: [s for s in spans if s["kind"] == 3]
+    hits = defaultdict(list)
+    for r in found:
+        hits[r["name"]].append(any(s["start"] <= r["a"] and s["end"] >= r["b"] for s in own(r["secrets"])))
+    recall = {k: sum(v) / len(v) for k, v in hits.items()}
+    print(recall, sum(len(own(r["before"])) for r in found))
+    assert len(recall) == len(forms) and min(recall.values()) > 0.8
+    # the texts as they were hold no secrets but those of the patterns
+    assert sum(len(own(r["before"])) for r in found) <= 2
+
+
+def test_spans_are_the_best_path(spark, documents):
+    from dockflow.llm import secret_scan
+
+    table = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    field = secret_scan.fit(table)
+    got = {r["doc_id"]: r["secrets"] for r in secret_scan.scan(table, field).collect()}
+    for r in documents[:300]:
+        text = r["text"] or ""
+        places = [m.span() for m in secret_scan.TOKEN.finditer(text)]
+        tokens, of_file = [text[a:b] for a, b in places], secret_scan.file_features(text)
+        rows = [secret_scan.token_features(tokens, i, of_file) for i in range(len(tokens))]
+        base = brute.base_secrets(text)
+        own = [(a, 3, b) for a, b in brute.tagged_spans(field.decode(field.emissions(rows)), places)]
+        own = [(a, k, b) for a, k, b in own if not any(x < b and y > a for x, _, y in base)]
+        assert [(s["start"], s["kind"], s["end"]) for s in got[r["doc_id"]]] == sorted(base + own)
+
+
 def test_toxicity(spark):
     import zlib
 
