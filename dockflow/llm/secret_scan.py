@@ -11,8 +11,7 @@ from __future__ import annotations
 import random
 import re
 import zlib
-from bisect import bisect_left
-from collections import defaultdict
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
@@ -173,11 +172,6 @@ class Field:
         return path[::-1]
 
 
-def _log_sum(a: np.ndarray, axis: int) -> np.ndarray:
-    top = a.max(axis, keepdims=True)
-    return (top + np.log(np.exp(a - top).sum(axis, keepdims=True))).squeeze(axis)
-
-
 def train(samples: list[tuple[list[list[str]], list[int]]], rounds: int = 8, rate: float = 0.3, decay: float = 1e-4) -> Field:
     """Maximum likelihood by stochastic gradients with adaptive steps, in the order given.
 
@@ -186,50 +180,67 @@ def train(samples: list[tuple[list[list[str]], list[int]]], rounds: int = 8, rat
     """
     if not samples:
         return Field({}, np.zeros((3, 3)))
-    weights, seen = defaultdict(lambda: np.zeros(3)), defaultdict(lambda: np.full(3, 1e-6))
+    number: dict[str, int] = {"b": 0}
+    windows_ = [
+        (np.array([number.setdefault(f, len(number)) for row in rows for f in row]), np.repeat(np.arange(len(rows)), [len(r) for r in rows]), tags)
+        for rows, tags in samples
+    ]
+    weights, seen = np.zeros((len(number), 3)), np.full((len(number), 3), 1e-6)
     moves, moved = np.zeros((3, 3)), np.full((3, 3), 1e-6)
     moves[OUTSIDE, INSIDE] = -20.0
-    weights["b"] += [-1.0, -1.0, 1.0]
+    weights[0] = [-1.0, -1.0, 1.0]
     for _ in range(rounds):
-        for rows, tags in samples:
-            n = len(rows)
-            e = np.array([sum((weights[f] for f in row), np.zeros(3)) for row in rows])
-            alpha, beta = np.empty((n, 3)), np.empty((n, 3))
-            alpha[0], beta[-1] = moves[OUTSIDE] + e[0], moves[:, OUTSIDE]
-            for i in range(1, n):
-                alpha[i] = _log_sum(alpha[i - 1][:, None] + moves, 0) + e[i]
-            for i in range(n - 2, -1, -1):
-                beta[i] = _log_sum(moves + (e[i + 1] + beta[i + 1])[None, :], 1)
-            total = _log_sum(alpha[-1] + beta[-1], 0)
-            gap = -np.exp(alpha + beta - total)
-            gap[np.arange(n), tags] += 1
-            step = np.zeros((3, 3))
-            path = [OUTSIDE, *tags, OUTSIDE]
-            for a, b in zip(path, path[1:]):
-                step[a, b] += 1
-            step[OUTSIDE] -= np.exp(alpha[0] + beta[0] - total)
-            step[:, OUTSIDE] -= np.exp(alpha[-1] + beta[-1] - total)
-            for i in range(1, n):
-                step -= np.exp(alpha[i - 1][:, None] + moves + (e[i] + beta[i])[None, :] - total)
-            for row, g in zip(rows, gap):
-                if np.abs(g).max() > 1e-4:
-                    for f in row:
-                        own = g - decay * weights[f]
-                        seen[f] += own * own
-                        weights[f] += rate * own / np.sqrt(seen[f])
+        for flat, row, tags in windows_:
+            n = len(tags)
+            e = np.stack([np.bincount(row, weights[flat, t], n) for t in range(3)], 1)
+            gap, step = _gradient(e, moves, tags)
+            # a window is one step: gradients of a feature are summed over its tokens
+            used, at = np.unique(flat, return_inverse=True)
+            own = np.stack([np.bincount(at, gap[row, t], len(used)) for t in range(3)], 1) - decay * weights[used]
+            seen[used] += own * own
+            weights[used] += rate * own / np.sqrt(seen[used])
             moved += step * step
             moves += rate * step / np.sqrt(moved)
             moves[OUTSIDE, INSIDE] = -20.0
-    return Field(dict(weights), moves)
+    return Field({f: weights[i] for f, i in number.items()}, moves)
+
+
+def _gradient(e: np.ndarray, moves: np.ndarray, tags: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """What the tags have more of than the field expects: per token and tag, and per move."""
+    n = len(e)
+    # forward and backward in probabilities scaled at every token
+    p, move = np.exp(e - e.max(1, keepdims=True)), np.exp(moves)
+    alpha, beta = np.empty((n, 3)), np.ones((n, 3))
+    alpha[0] = move[OUTSIDE] * p[0]
+    alpha[0] /= alpha[0].sum()
+    beta[-1] = move[:, OUTSIDE]
+    for i in range(1, n):
+        a = (alpha[i - 1] @ move) * p[i]
+        alpha[i] = a / a.sum()
+    for i in range(n - 2, -1, -1):
+        b = move @ (p[i + 1] * beta[i + 1])
+        beta[i] = b / b.sum()
+    gap = alpha * beta
+    gap = -gap / gap.sum(1, keepdims=True)
+    step = np.zeros((3, 3))
+    step[OUTSIDE] += gap[0]
+    step[:, OUTSIDE] += gap[-1]
+    both = alpha[:-1, :, None] * move[None] * (p[1:] * beta[1:])[:, None, :]
+    step -= (both / both.sum((1, 2), keepdims=True)).sum(0)
+    path = [OUTSIDE, *tags, OUTSIDE]
+    np.add.at(step, (path[:-1], path[1:]), 1)
+    gap[np.arange(n), tags] += 1
+    return gap, step
 
 
 def tagged(tokens: list[tuple[int, int]], spans: list[Span]) -> list[int]:
     """Tags of token ranges by the values of spans."""
     tags = [OUTSIDE] * len(tokens)
+    starts, ends = [a for a, _ in tokens], [b for _, b in tokens]
     for _, _, end, value in spans:
-        inside = [i for i, (a, b) in enumerate(tokens) if a < end and b > value]
-        for k, i in enumerate(inside):
-            tags[i] = INSIDE if k else BEGIN
+        first = bisect_right(ends, value)
+        for i in range(first, bisect_left(starts, end)):
+            tags[i] = INSIDE if i > first else BEGIN
     return tags
 
 
@@ -361,20 +372,28 @@ class Emitter:
         return self.own[self.key_of[ids]] + found[triple] + self.after[next_]
 
 
-def never_secret(e: np.ndarray, next_: np.ndarray, moves: np.ndarray) -> np.ndarray:
-    """Tokens that are outside on the best path of any text they stand in like this.
+def may_be_secret(e: np.ndarray, moves: np.ndarray, before: float, behind: float) -> tuple[np.ndarray, float]:
+    """Tokens that a run of secrets could hold which scores no less than the same tokens outside.
 
-    ``next_`` are the emissions of the tokens behind. Tagging such a token as outside, and a following
-    inside as begin, scores higher than any other tag there, whatever stands around.
+    A run gains at most the sum of its tokens' gains, over its moves' largest ones; all other tokens are outside
+    on the best path. ``before`` and ``behind`` are what a run may gain beyond these tokens. Also returns what
+    it may gain up to the last of them.
     """
-    m, gap = moves, np.where(np.isfinite(next_).all(1), next_[:, INSIDE] - next_[:, BEGIN], -np.inf)
-    out = np.ones(len(e), bool)
-    for s in (BEGIN, INSIDE):
-        here = (m[:, s] - m[:, OUTSIDE]).max()
-        alone = here + max(m[s, t] - m[OUTSIDE, t] for t in (OUTSIDE, BEGIN))
-        joined = here + m[s, INSIDE] - m[OUTSIDE, BEGIN] + (m[INSIDE] - m[BEGIN]).max()
-        out &= e[:, OUTSIDE] - e[:, s] > np.maximum(alone, joined + gap) + 1e-9
-    return out
+    stay = moves[OUTSIDE, OUTSIDE]
+    middle = moves[:OUTSIDE, :OUTSIDE].max() - stay
+    ends = moves[OUTSIDE, :OUTSIDE].max() + moves[:OUTSIDE, OUTSIDE].max() - 2 * stay - middle
+    gain = e[:, :OUTSIDE].max(1) - e[:, OUTSIDE] + middle
+    total = np.cumsum(gain)
+    up_to = total - np.minimum(np.minimum.accumulate(np.concatenate([[0.0], total[:-1]])), -before)
+    rest = np.maximum.accumulate(np.concatenate([total, [total[-1] + behind]])[::-1])[::-1]
+    from_here = rest[:-1] - total + gain
+    return up_to + from_here - gain + ends >= -1e-9, max(0.0, up_to[-1])
+
+
+def ahead(e: np.ndarray, moves: np.ndarray) -> float:
+    """What a run may gain from tokens behind; unbounded where it gains up to the last of them."""
+    total = np.cumsum(e[:, :OUTSIDE].max(1) - e[:, OUTSIDE] + moves[:OUTSIDE, :OUTSIDE].max() - moves[OUTSIDE, OUTSIDE])
+    return np.inf if total.argmax() == len(total) - 1 and total[-1] > 0 else max(0.0, total.max())
 
 
 _BLANK = re.compile(r"\s")
@@ -390,43 +409,45 @@ def pieces(text: str, size: int) -> Iterator[tuple[int, str]]:
         at = end
 
 
+def emissions(text: str, emit: Emitter, size: int) -> Iterator[tuple[int, str, np.ndarray]]:
+    """Place, text and emissions of the pieces of a text that hold tokens."""
+    of_file = emit.field.emissions([file_features(text)])[0]
+    parts = ((at, piece, emit.numbers(tokens)) for at, piece in pieces(text, size) if (tokens := TOKEN.findall(piece)))
+    before, held = np.zeros(0, np.int64), next(parts, None)
+    while held:
+        coming = next(parts, None)
+        at, piece, ids = held
+        yield at, piece, emit(before, ids, coming[2][:1] if coming else ids[:0]) + of_file
+        before, held = np.concatenate([before, ids])[-3:], coming
+
+
 def field_spans(text: str, emit: Emitter, size: int = 1_000_000) -> list[tuple[int, int]]:
     """Code point ranges that the field tags as secrets on the best path through the whole text.
 
-    Tokens that are never secret split the path into short runs; pieces of about ``size`` characters only bound
+    Tokens that cannot be secrets split the path into short runs; pieces of about ``size`` characters only bound
     the memory.
     """
     if not emit.field.weights:
         return []
     if len(emit.ids) > 200_000:  # a cache, so emptying it changes nothing
         emit.clear()
-    of_file = emit.field.emissions([file_features(text)])[0]
-    parts = ((at, piece, emit.numbers(tokens)) for at, piece in pieces(text, size) if (tokens := TOKEN.findall(piece)))
-    before, done, last = np.zeros(0, np.int64), 0, -2
+    moves, done, last, before = emit.field.moves, 0, -2, 0.0
     runs: list[tuple[list[np.ndarray], list[tuple[int, int]]]] = []
-    held = next(parts, None)
-    # the last token of a piece needs the emission of the next one, and that its own neighbour
-    following = next(parts, None)
+    scored = emissions(text, emit, size)
+    held = next(scored, None)
     while held:
-        (start, piece, ids), coming = held, following[2] if following else np.zeros(0, np.int64)
-        later = next(parts, None) if following else None
-        behind = np.concatenate([coming, later[2] if later else coming[:0]])[:2]
-        e = emit(before, np.concatenate([ids, behind[:1]]), behind[1:]) + of_file
-        n = len(ids)
-        open_ = np.flatnonzero(~never_secret(e[:n], np.vstack([e[1:], np.full((1, 3), np.nan)])[:n], emit.field.moves))
-        if len(open_):
-            places, wanted = {}, set(open_.tolist())
+        coming = next(scored, None)
+        start, piece, e = held
+        may, before = may_be_secret(e, moves, before, ahead(coming[2], moves) if coming else 0.0)
+        if may.any():
             for i, m in enumerate(TOKEN.finditer(piece)):
-                if i in wanted:
-                    places[i] = (start + m.start(), start + m.end())
-            for i in open_.tolist():
-                if done + i != last + 1:
-                    runs.append(([], []))
-                runs[-1][0].append(e[i])
-                runs[-1][1].append(places[i])
-                last = done + i
-        done, before = done + n, np.concatenate([before, ids])[-3:]
-        held, following = following, later
+                if may[i]:
+                    if done + i != last + 1:
+                        runs.append(([], []))
+                    runs[-1][0].append(e[i])
+                    runs[-1][1].append((start + m.start(), start + m.end()))
+                    last = done + i
+        done, held = done + len(e), coming
     out = []
     for rows, places in runs:
         before_tag = OUTSIDE
