@@ -52,11 +52,31 @@ LAYOUTS = (
 )
 
 
+#: Texts of any length a row can hold; the parser stops at 20 million characters otherwise.
+_WHOLE = {"maxStringLen": str((1 << 31) - 1)}
+
+
+def skeleton(record: Column) -> Column:
+    """The JSON text with empty strings for its values, which its field paths do not depend on."""
+    # no quote or backslash is left inside a string, so every second part between quotes is one
+    plain = F.replace(F.replace(record, F.lit("\\\\"), F.lit("\\u005c")), F.lit('\\"'), F.lit("\\u0022"))
+    kept = lambda z: F.when((z["i"] % 2 == 0) | F.ltrim(z["after"]).startswith(":"), z["part"]).otherwise("")
+
+    def parts(p: Column) -> Column:
+        after = F.concat(F.slice(p, 2, F.size(p)), F.array(F.lit("")))
+        numbers = F.sequence(F.lit(0), F.size(p) - 1)
+        zipped = F.arrays_zip(p.alias("part"), after.alias("after"), numbers.alias("i"))
+        return F.array_join(F.transform(zipped, kept), '"')
+
+    return F.transform(F.array(F.split(plain, '"', -1)), parts)[0]
+
+
 def field_paths(record: Column) -> Column:
     """Sorted distinct paths of a JSON object: ``a``, ``a.b`` in objects, ``a[]`` and ``a[].b`` in lists.
 
     A string is a leaf whatever it looks like. Null for anything but an object.
     """
+    record = skeleton(record)
     kind = F.schema_of_variant(F.try_parse_json(record))
     fields = F.map_entries(F.when(kind.startswith("OBJECT"), F.from_json(record, "map<string,variant>")))
     keys = lambda text: F.json_object_keys(text)
@@ -90,7 +110,7 @@ def canonical_turns(df: DataFrame, record: str = "record", layouts: tuple[Layout
     """``df`` with ``layout`` and ``turns`` (array of role and text) of the JSON objects in ``record``.
 
     The fingerprint of the field paths selects the layout, so a text that looks like JSON never
-    changes how its record is read below the layout's own fields. Records of unknown layout, broken
+    changes how its record is read below the layout's own fields; nor does its length. Records of unknown layout, broken
     JSON and null give a null layout and null turns. Null roles and texts become empty strings.
     """
     kinds = {}
@@ -100,7 +120,7 @@ def canonical_turns(df: DataFrame, record: str = "record", layouts: tuple[Layout
             kinds[array] = f"`{array}` array<struct<`{role}`:string,`{text}`:string>>"
         else:
             kinds |= {f: f"`{f}` string" for _, f in layout.fields}
-    values = F.from_json(F.col(record), ", ".join(kinds.values()))
+    values = F.from_json(F.col(record), ", ".join([*kinds.values(), "`_corrupt_record` string"]), _WHOLE)
     df = df.withColumn("__llm_values", values).withColumn("__llm_fingerprint", schema_fingerprint(F.col(record)))
 
     def turn(role: Column, text: Column) -> Column:
@@ -116,7 +136,7 @@ def canonical_turns(df: DataFrame, record: str = "record", layouts: tuple[Layout
             found = listed(layout)
         else:
             found = F.array(*[turn(F.lit(r), F.col(f"__llm_values.{f}")) for r, f in layout.fields])
-        hit = F.col("__llm_fingerprint") == layout.fingerprint
+        hit = (F.col("__llm_fingerprint") == layout.fingerprint) & F.col("__llm_values._corrupt_record").isNull()
         name, turns = F.when(hit, layout.name).otherwise(name), F.when(hit, found).otherwise(turns)
     return df.withColumns({"layout": name, "turns": turns}).drop("__llm_values", "__llm_fingerprint")
 

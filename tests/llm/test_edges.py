@@ -425,6 +425,15 @@ def test_chat_rows(spark):
     assert chat.records(df.limit(0)).count() == 0
 
 
+def test_chat_texts_of_any_length(spark):
+    df = spark.range(1).selectExpr(
+        "7L AS conv_id", "explode(array(0, 1)) AS turn"
+    ).selectExpr("conv_id", "turn", "if(turn = 0, 'user', 'assistant') AS role", """repeat('ab"\\\\: ', 4200000) AS text""")
+    done = chat.parse_formatted(chat.format_turns(chat.canonical_turns(chat.records(df))))
+    got = done.withColumn("loss", chat.loss_text()).select("layout", F.size("read_turns").alias("n"), F.sha2("loss", 256).alias("sha"))
+    assert tuple(got.first()) == ("prompt_response", 2, brute.sha('ab"\\: ' * 4_200_000))
+
+
 def test_layouts(spark):
     cases = {
         "prompt_response": {"prompt": "p", "response": "r"},
