@@ -12,7 +12,7 @@ import random
 import re
 import zlib
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import islice
 from math import log2
@@ -56,6 +56,8 @@ def base_spans(text: str) -> list[Span]:
 TOKEN = re.compile(r"[\w+/-]+|[^\w\s]")
 #: Tokens whose neighbours see their shape or word; neighbours of other words see a plain word.
 TRIGGER = re.compile(r"[0-9]|[a-z][A-Z]|[A-Za-z+/_-]{32}|(?i:passw|secret|token|api_?key|credential|bearer|passphrase|pwd)")
+#: A word of lower-case letters, below 32 of them, is no trigger unless it holds one of these.
+TRIGGER_WORDS = ("passw", "secret", "token", "apikey", "credential", "bearer", "passphrase", "pwd")
 #: Words that announce a secret, alone or as the last part of a name; they share one context.
 KEYWORD = re.compile(r"(?i)(?:\w*[_-])?(?:password|passwd|pwd|passphrase|secret|token|api_?key|credential|bearer)s?")
 WINDOW = 6
@@ -309,6 +311,17 @@ def samples_of(text: str) -> Iterator[tuple[int, list[list[str]], list[int]]]:
                 yield 2, [token_features(t, i, [*of_file[:2], signs]) for i in range(len(t))], g
 
 
+class _Numbers(dict):
+    """Numbers of tokens; ``new`` gives those of tokens not met before."""
+
+    def __init__(self, new: Callable[[str], int]):
+        self.new = new
+
+    def __missing__(self, token: str) -> int:
+        number = self[token] = self.new(token)
+        return number
+
+
 class Emitter:
     """Emissions of tokens in their places; tokens and contexts met before are looked up."""
 
@@ -317,7 +330,7 @@ class Emitter:
         self.clear()
 
     def clear(self) -> None:
-        self.ids: dict[str, int] = {}
+        self.ids = _Numbers(self._token)
         self.keys: dict[tuple, int] = {}
         self.own = np.zeros((1024, 3))
         self.key_of, self.near = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
@@ -326,6 +339,7 @@ class Emitter:
         self.after = np.zeros((1024, 3))
         self.contexts: dict[tuple[int, int, int], np.ndarray] = {}
         self._name("-")
+        self.word = self._name("a")
 
     def _name(self, near: str) -> int:
         i = self.name_ids.get(near)
@@ -337,22 +351,29 @@ class Emitter:
             self.after[i] = self.field.emissions([["x:" + near]])[0]
         return i
 
-    def _token(self, token: str) -> None:
-        i = self.ids[token] = len(self.ids)
+    def _token(self, token: str) -> int:
+        i = len(self.ids)
         if i == len(self.near):
             self.key_of, self.near = np.concatenate([self.key_of] * 2), np.concatenate([self.near] * 2)
-        key = own_key(token)
+        n = len(token)
+        # most tokens are lower-case words, whose key and name need no search for signs or keywords
+        plain = token.isalpha() and token.islower() and n < 32
+        key = own_key(token) if not plain else (token.lower(), "a") if n < 6 else (min(6, n // 6), "a")
         k = self.keys.get(key)
         if k is None:
             k = self.keys[key] = len(self.keys)
             if k == len(self.own):
                 self.own = np.concatenate([self.own] * 2)
             self.own[k] = self.field.emissions([["b", *key_features(key)]])[0]
-        self.key_of[i], self.near[i] = k, self._name(_near(token))
+        self.key_of[i] = k
+        self.near[i] = self.word if plain and not self.hinted else self._name(_near(token))
+        return i
 
-    def numbers(self, tokens: list[str]) -> np.ndarray:
-        for token in set(tokens).difference(self.ids):
-            self._token(token)
+    def numbers(self, piece: str) -> np.ndarray:
+        """Numbers of the tokens of a piece of text."""
+        low = piece.lower().replace("\u017f", "s").replace("\u0131", "i")  # signs that (?i) takes for s and i
+        self.hinted = any(word in low for word in TRIGGER_WORDS)
+        tokens = TOKEN.findall(piece)
         return np.fromiter(map(self.ids.__getitem__, tokens), np.int64, len(tokens))
 
     def __call__(self, before: np.ndarray, ids: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -360,16 +381,26 @@ class Emitter:
         n, edge = len(ids), [0] * (3 - len(before))
         near = np.concatenate([edge, self.near[before], self.near[ids], self.near[after], [0]]).astype(np.int64)
         third, second, first, next_ = near[:n], near[1 : n + 1], near[2 : n + 2], near[4 : n + 4]
+        word = self.word
+        out = self.own[self.key_of[ids]] + self.after[next_]
+        other = (third != word) | (second != word) | (first != word)
+        out[~other] += self._context(word, word, word)
+        third, second, first = third[other], second[other], first[other]
         pairs, pair = np.unique(second * len(self.names) + first, return_inverse=True)
         triples, triple = np.unique(third * len(pairs) + pair, return_inverse=True)
-        names, found = self.names, np.empty((len(triples), 3))
+        found = np.empty((len(triples), 3))
         for k, code in enumerate(triples.tolist()):
-            c, (b, a) = code // len(pairs), divmod(int(pairs[code % len(pairs)]), len(names))
-            if (c, b, a) not in self.contexts:
-                p, q, r = names[a], names[b] + names[a], names[c] + names[b] + names[a]
-                self.contexts[c, b, a] = self.field.emissions([["p:" + p, "q:" + q, "r:" + r]])[0]
-            found[k] = self.contexts[c, b, a]
-        return self.own[self.key_of[ids]] + found[triple] + self.after[next_]
+            found[k] = self._context(code // len(pairs), *divmod(int(pairs[code % len(pairs)]), len(self.names)))
+        out[other] += found[triple]
+        return out
+
+    def _context(self, third: int, second: int, first: int) -> np.ndarray:
+        """Emission of the names of three tokens before."""
+        out = self.contexts.get((third, second, first))
+        if out is None:
+            c, b, a = self.names[third], self.names[second], self.names[first]
+            out = self.contexts[third, second, first] = self.field.emissions([["p:" + a, "q:" + b + a, "r:" + c + b + a]])[0]
+        return out
 
 
 def may_be_secret(e: np.ndarray, moves: np.ndarray, before: float, behind: float) -> tuple[np.ndarray, float]:
@@ -412,7 +443,7 @@ def pieces(text: str, size: int) -> Iterator[tuple[int, str]]:
 def emissions(text: str, emit: Emitter, size: int) -> Iterator[tuple[int, str, np.ndarray]]:
     """Place, text and emissions of the pieces of a text that hold tokens."""
     of_file = emit.field.emissions([file_features(text)])[0]
-    parts = ((at, piece, emit.numbers(tokens)) for at, piece in pieces(text, size) if (tokens := TOKEN.findall(piece)))
+    parts = ((at, piece, ids) for at, piece in pieces(text, size) if len(ids := emit.numbers(piece)))
     before, held = np.zeros(0, np.int64), next(parts, None)
     while held:
         coming = next(parts, None)
