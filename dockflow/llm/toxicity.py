@@ -33,7 +33,8 @@ class Settings:
     of words have ``shortest`` to ``longest`` letters. An expression's
     weight is dropped where the classes' counts do not differ by more than chance (``least_g2``, a
     log-likelihood ratio) or by less than the factor ``exp(least_weight)``. ``neutral`` words are
-    added to every text, so that one word alone does not decide a short one. ``calibration`` bounds the labelled rows that the final curve is
+    added to every text, so that one word alone does not decide a short one. Both are chosen among ``least_weights``
+    and ``neutrals``. ``calibration`` bounds the labelled rows that they and the final curve are
     fitted on; of the labelled rows one in ``fold`` is kept from the counts for it.
     """
 
@@ -42,19 +43,20 @@ class Settings:
     shortest: int = 3
     longest: int = 10
     least_g2: float = 30.0
-    least_weight: float = 2.6
+    least_weights: tuple[float, ...] = (1.0, 1.5, 2.0, 2.5, 3.0)
+    neutrals: tuple[int, ...] = (10, 20, 40, 80)
     fold: int = 6
-    neutral: int = 40
     calibration: int = 20_000
 
 
 @dataclass(frozen=True)
 class Model:
-    """Weights per slot (log-likelihood ratio, toxic over ordinary) and the calibration curve."""
+    """Weights per slot (log-likelihood ratio, toxic over ordinary), what was chosen, and the calibration curve."""
 
     slots: np.ndarray
     weights: np.ndarray
-    curve: tuple[np.ndarray, np.ndarray] | None
+    neutral: int
+    curve: tuple[np.ndarray, np.ndarray]
 
 
 def _words(text: Column) -> Column:
@@ -117,7 +119,7 @@ def weigh(counts: DataFrame, how: Settings) -> tuple[np.ndarray, np.ndarray]:
     g2 = 2 * (part(F.col("toxic"), both * expected) + part(F.col("ordinary"), both * (1 - expected)))
     weight = log_p["toxic"] - log_p["ordinary"]
     kept = counts.select("slot", weight.alias("w"), g2.alias("g2")).where(
-        (F.col("g2") >= how.least_g2) & (F.abs("w") >= how.least_weight)
+        (F.col("g2") >= how.least_g2) & (F.abs("w") >= min(how.least_weights))
     )
     rows = kept.select("slot", "w").toPandas().sort_values("slot")
     return rows["slot"].to_numpy(np.int64), rows["w"].to_numpy(np.float64)
@@ -140,38 +142,44 @@ def _weight(word: str, table: np.ndarray, how: Settings) -> float:
     return float(found)
 
 
-def ratio(text: str | None, find, known: dict[str, float], table: np.ndarray, how: Settings) -> float:
-    """Log-likelihood ratio per word, with some neutral words added; 0 for a text without words."""
-    words = find((text or "").lower())
-    for word in set(words):
-        if word not in known:
-            known[word] = _weight(word, table, how)
-    return sum(map(known.__getitem__, words)) / (len(words) + how.neutral)
+class Reader:
+    """Sums of a text's weights, over tables by slot; weights of words met before are looked up."""
 
+    def __init__(self, tables: list[np.ndarray], how: Settings):
+        self.find, self.tables, self.how, self.known = _finder(), tables, how, {}
 
-def _measured(df: DataFrame, text: str, model: Model, how: Settings, name: str) -> DataFrame:
-    """``df`` with the ratio per word, or the score if the model has a curve.
+    def __call__(self, text: str | None) -> tuple[int, list[float]]:
+        """Number of words and, per table, their log-likelihood ratio; nothing for a text without words."""
+        words = self.find((text or "").lower())
+        if len(self.known) > 200_000:  # a cache, so emptying it changes nothing
+            self.known.clear()
+        for word in set(words).difference(self.known):
+            self.known[word] = tuple(_weight(word, t, self.how) for t in self.tables)
+        known = self.known
+        return len(words), [sum([known[w][i] for w in words]) for i in range(len(self.tables))]
 
-    The weights are broadcast: there are no more of them than ``slots``.
-    """
-    text_batches(df.sparkSession)
-    shared = df.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def measure(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = shared.value
-        find, known, table = _finder(), {}, np.zeros(how.slots, np.float32)
-        table[own.slots] = own.weights
-        for batch in batches:
-            out = []
-            for text in batch:
-                out.append(ratio(text, find, known, table, how))
-                if len(known) > 200_000:  # a cache of weights, so emptying it changes nothing
-                    known.clear()
-            x = np.array(out, np.float64)
-            yield pd.Series(x if own.curve is None else on_curve(x, own.curve), dtype="float64")
+def _table(slots: np.ndarray, weights: np.ndarray, how: Settings) -> np.ndarray:
+    out = np.zeros(how.slots, np.float32)
+    out[slots] = weights
+    return out
 
-    return df.withColumn(name, measure(F.col(text)))
+
+def choose(n: np.ndarray, sums: np.ndarray, y: np.ndarray, part: np.ndarray, how: Settings) -> tuple[int, int]:
+    """Numbers of the ``least_weights`` and ``neutrals`` with the best likelihood of the labels.
+
+    Every row is scored on a curve fitted without its ``part``. Of equal choices the first stands.
+    """
+    best, found = (0, 0), np.inf
+    for i in range(len(how.least_weights)):
+        for j, neutral in enumerate(how.neutrals):
+            x, p = sums[:, i] / (n + neutral), np.zeros(len(y))
+            for k in set(part.tolist()):
+                p[part == k] = on_curve(x[part == k], calibrate(x[part != k], y[part != k]))
+            loss = -np.log(np.clip(np.where(y == 1, p, 1 - p), 1e-4, 1)).sum()
+            if loss < found - 1e-9:
+                best, found = (i, j), loss
+    return best
 
 
 Curve = tuple[np.ndarray, np.ndarray]
@@ -208,9 +216,10 @@ def fit(
 ) -> Model:
     """Models and calibration from rows of text and label (0 or 1; rows with another label are left out).
 
-    All rows but one in ``fold`` (by hash of key) give counts, however many there are. The curve is fitted on
-    the rest, on at most about ``calibration`` of them, picked by hash.
+    All rows but one in ``fold`` (by hash of key) give counts, however many there are. The least weight, the neutral
+    words and the curve are fitted on the rest, on at most about ``calibration`` of them, picked by hash.
     """
+    text_batches(labelled.sparkSession)
     rows = written(
         labelled.where(F.col(toxic).isin(0, 1)).select(
             F.col(text).alias("_t"), F.col(toxic).alias("_y"), F.xxhash64(F.lit(3), F.col(key)).alias("_h")
@@ -219,18 +228,46 @@ def fit(
     )
     part = F.pmod("_h", F.lit(how.fold))
     slots, weights = weigh(expression_counts(rows.where(part != 0), "_t", "_y", how), how)
-    model = Model(slots, weights, None)
     aside = rows.where(part == 0)
     n = aside.count()
     share = min(1.0, how.calibration / max(1, n))
     aside = aside.where(F.pmod(F.floor(F.col("_h") / how.fold), F.lit(1_000_003)) < F.lit(int(1_000_003 * share)))
-    frame = _measured(aside.select("_t", "_y"), "_t", model, how, "x").select("_y", "x").toPandas()
-    return Model(slots, weights, calibrate(frame["x"].to_numpy(float), frame["_y"].to_numpy(float)))
+    shared = labelled.sparkSession.sparkContext.broadcast((slots, weights))
+
+    @F.pandas_udf("n long, sums array<double>")
+    def measure(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        slots, weights = shared.value
+        read = Reader([_table(slots, np.where(np.abs(weights) >= w, weights, 0), how) for w in how.least_weights], how)
+        for batch in batches:
+            yield pd.DataFrame(map(read, batch), columns=["n", "sums"])
+
+    frame = aside.select("_y", F.pmod(F.floor(F.col("_h") / 97), F.lit(5)).alias("part"), measure("_t").alias("m"))
+    frame = frame.select("_y", "part", "m.n", "m.sums").orderBy("n", "sums", "part", "_y").toPandas()
+    n, y = frame["n"].to_numpy(float), frame["_y"].to_numpy(float)
+    sums = np.array(frame["sums"].tolist(), float).reshape(len(y), len(how.least_weights))
+    i, j = choose(n, sums, y, frame["part"].to_numpy(), how)
+    kept, neutral = np.abs(weights) >= how.least_weights[i], how.neutrals[j]
+    return Model(slots[kept], weights[kept], neutral, calibrate(sums[:, i] / (n + neutral), y))
 
 
 def score(df: DataFrame, model: Model, text: str = "text", name: str = "score", how: Settings = Settings()) -> DataFrame:
-    """``df`` with the calibrated score (0 to 1) of ``text``; null and empty texts score like neutral ones."""
-    return _measured(df, text, model, how, name)
+    """``df`` with the calibrated score (0 to 1) of ``text``; null and empty texts score like neutral ones.
+
+    The weights are broadcast: there are no more of them than ``slots``.
+    """
+    text_batches(df.sparkSession)
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def measure(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        own = shared.value
+        read = Reader([_table(own.slots, own.weights, how)], how)
+        for batch in batches:
+            found = [(total[0], n) for n, total in map(read, batch)]
+            total, n = np.array(found, np.float64).reshape(-1, 2).T
+            yield pd.Series(on_curve(total / (n + own.neutral), own.curve), dtype="float64")
+
+    return df.withColumn(name, measure(F.col(text)))
 
 
 def held_out(key: Column | str) -> Column:
