@@ -66,7 +66,7 @@ def _words(text: Column) -> Column:
 def expression_counts(labelled: DataFrame, text: str, toxic: str, how: Settings) -> DataFrame:
     """Counts per slot: ``toxic``, ``ordinary`` and the number of history classes (``contexts``)."""
     words = F.col("_w")
-    shifted = F.concat(F.array(F.lit("")), F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))))
+    shifted = F.slice(F.concat(F.array(F.lit("")), words), F.lit(1), F.size(words))  # as many as words, also without any
     # a word counts once per text and history class: a line said a thousand times is one piece of evidence
     history = lambda w: F.lpad((F.crc32(w) % how.histories).cast("string"), 2, "0")
     marked = F.array_distinct(F.zip_with(words, shifted, lambda w, before: F.concat(history(before), w)))
